@@ -80,35 +80,39 @@ def salted_join(
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
-def number_rows(
+def running_total(
     df: DataFrame,
     order: Sequence[str],
-    name: str = "rn",
+    weight: str | None = None,
+    name: str = "total",
     group: Sequence[str] = (),
     partitions: int | None = None,
 ) -> DataFrame:
-    """``row_number()`` over a total order without gathering a group in one task.
+    """Cumulative sum of ``weight`` (1 if absent) over a total order, without gathering a group in one task.
 
-    Rows are range-partitioned on (group, order), numbered inside their partition, and shifted by the
-    number of rows that earlier partitions hold for the same group. ``order`` must be unique per group.
+    Rows are range-partitioned on (group, order), summed inside their partition, and shifted by what
+    earlier partitions hold for the same group. ``order`` must be unique per group.
     """
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*group, *order]
-    tagged = materialize(df.repartitionByRange(parts, *keys).withColumn("_p", F.spark_partition_id()))
-    sizes = tagged.groupBy(*group, "_p").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn(
-        "_before",
-        F.coalesce(
-            F.sum("_n").over(
-                Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ),
-    ).drop("_n")
-    local = tagged.withColumn("_l", F.row_number().over(Window.partitionBy(*group, "_p").orderBy(*order)))
-    joined = local.join(before, [*group, "_p"], "inner")
-    return joined.withColumn(name, (F.col("_l") + F.col("_before")).cast("bigint")).drop("_p", "_l", "_before")
+    w = F.col(weight) if weight else F.lit(1)
+    tagged = materialize(
+        df.repartitionByRange(parts, *keys).withColumn("_p", F.spark_partition_id()).withColumn("_w", w.cast("bigint"))
+    )
+    sizes = tagged.groupBy(*group, "_p").agg(F.sum("_w").alias("_n"))
+    earlier = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    inside = Window.partitionBy(*group, "_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = tagged.withColumn("_l", F.sum("_w").over(inside)).join(before, [*group, "_p"], "inner")
+    return joined.withColumn(name, (F.col("_l") + F.col("_before")).cast("bigint")).drop("_p", "_l", "_before", "_w")
+
+
+def number_rows(
+    df: DataFrame, order: Sequence[str], name: str = "rn", group: Sequence[str] = (), partitions: int | None = None
+) -> DataFrame:
+    """``row_number()`` over a total order, see :func:`running_total`."""
+    return running_total(df, order, None, name, group, partitions)
 
 
 def top_per_group(
