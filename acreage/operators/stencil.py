@@ -11,8 +11,9 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from acreage.functions import arrays as A
 
@@ -33,33 +34,83 @@ class Tile:
         return self.data[name]
 
 
-def block_map(px: DataFrame, fn: Callable[[Tile], dict[str, np.ndarray]], outputs: str, halo: int, keys: Sequence[str] = ("raster_id",),
-              inputs: Sequence[str] | None = None, block: int = BLOCK, emit: str | None = None) -> DataFrame:
-    """Apply ``fn`` to every block and return its outputs for the block's own pixels.
+def stream_groups(df: DataFrame, group: Sequence[str], inputs: Sequence[str], fn: Callable[[dict], dict | None], ddl: str) -> DataFrame:
+    """Call ``fn`` once per group with its columns as arrays; it returns equally long arrays or lists (or None).
 
-    ``outputs`` is a DDL list such as ``"dilated int"``. ``emit`` names a boolean output that selects the
-    pixels to return (all by default).
+    Rows are hash-partitioned and sorted by the group, and a task streams its groups one after another. This
+    avoids the per-group start-up cost that dominates when groups are many and small.
+    """
+    group, names_in = list(group), [*group, *inputs]
+    out_schema = to_arrow_schema(T.StructType.fromDDL(ddl))
+
+    def column(parts: list[dict], field: pa.Field) -> pa.Array:
+        if any(isinstance(q[field.name], list) for q in parts):
+            return pa.array([v for q in parts for v in q[field.name]], type=field.type)
+        return pa.array(np.concatenate([q[field.name] for q in parts]), type=field.type)
+
+    def run(batches):
+        pending: list[dict[str, np.ndarray]] = []
+
+        def flush():
+            whole = {c: np.concatenate([q[c] for q in pending]) for c in names_in} if len(pending) > 1 else pending[0]
+            pending.clear()
+            return fn(whole)
+
+        def pack(parts):
+            return pa.RecordBatch.from_arrays([column(parts, f) for f in out_schema], schema=out_schema)
+
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            cols = {c: b.column(c).to_numpy(zero_copy_only=False) for c in names_in}
+            change = np.zeros(b.num_rows - 1, dtype=bool)
+            for k in group:
+                change |= cols[k][1:] != cols[k][:-1]
+            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), b.num_rows]
+            ready = []
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if pending and any(pending[-1][k][0] != cols[k][lo] for k in group):
+                    ready.append(flush())
+                pending.append({c: cols[c][lo:hi] for c in names_in})
+            ready = [r for r in ready if r is not None]
+            if ready:
+                yield pack(ready)
+        if pending:
+            last = flush()
+            if last is not None:
+                yield pack([last])
+
+    return df.select(*names_in).repartition(*group).sortWithinPartitions(*group).mapInArrow(run, ddl)
+
+
+def block_rows(px: DataFrame, fn: Callable[[Tile], dict[str, np.ndarray]], outputs: str, halo: int, keys: Sequence[str] = ("raster_id",),
+               inputs: Sequence[str] | None = None, block: int | tuple[int, int] = BLOCK) -> DataFrame:
+    """Apply ``fn`` to every block; it returns equally long 1-D arrays, one row each.
+
+    Rows arrive hash-partitioned and sorted by block, so a task streams its blocks one after another and
+    holds one block at a time. ``outputs`` is a DDL list such as ``"row_ int, col_ int, dilated int"``.
     """
     keys = list(keys)
     inputs = [c for c in px.columns if c not in (*keys, "row_", "col_")] if inputs is None else list(inputs)
-    schema = px.select(*keys, "row_", "col_")
-    size = int(block)
-    near = lambda c: F.sequence(F.floor((F.col(c) - halo) / size).cast("int"), F.floor((F.col(c) + halo) / size).cast("int"))
+    tall, wide = (int(b) for b in (block if isinstance(block, tuple) else (block, block)))
+    near = lambda c, size: F.sequence(
+        F.greatest(F.lit(0), F.floor((F.col(c) - halo) / size)).cast("int"), F.floor((F.col(c) + halo) / size).cast("int"))
+    home = lambda c, size: F.floor(F.col(c) / size).cast("int")
     p = px.select(*keys, "row_", "col_", *inputs)
     if halo > 0:
-        p = p.withColumn("_br", F.explode(near("row_"))).withColumn("_bc", F.explode(near("col_")))
+        p = p.withColumn("_br", F.explode(near("row_", tall))).withColumn("_bc", F.explode(near("col_", wide)))
     else:
-        p = p.withColumn("_br", F.floor(F.col("row_") / size).cast("int")).withColumn("_bc", F.floor(F.col("col_") / size).cast("int"))
-    names = [part.strip().split()[0] for part in outputs.split(",")]
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.schema.fields) + ", " + outputs
-    nk = len(keys)
-
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        row, col = pdf["row_"].to_numpy(), pdf["col_"].to_numpy()
-        br, bc = key[nk], key[nk + 1]
-        mine = (row // size == br) & (col // size == bc)
+        p = p.withColumn("_br", home("row_", tall)).withColumn("_bc", home("col_", wide))
+    part = [*keys, "_br", "_bc"]
+    names = [o.strip().split()[0] for o in outputs.split(",")]
+    types = dict(px.dtypes)
+    ddl = ", ".join([*(f"{k} {types[k]}" for k in keys), outputs])
+
+    def one(columns: dict[str, np.ndarray]) -> dict[str, np.ndarray] | None:
+        row, col = columns["row_"], columns["col_"]
+        mine = (row // tall == columns["_br"][0]) & (col // wide == columns["_bc"][0])
         if not mine.any():
-            return pd.DataFrame({c: [] for c in [*keys, "row_", "col_", *names]})
+            return None
         r0, c0 = int(row.min()), int(col.min())
         shape = (int(row.max()) - r0 + 1, int(col.max()) - c0 + 1)
         at = (row - r0, col - c0)
@@ -69,20 +120,32 @@ def block_map(px: DataFrame, fn: Callable[[Tile], dict[str, np.ndarray]], output
         core[(row[mine] - r0, col[mine] - c0)] = True
         data = {}
         for c in inputs:
-            v = pdf[c].to_numpy()
+            v = columns[c]
             grid = np.zeros(shape, dtype=v.dtype if v.dtype != object else float)
             grid[at] = v
             data[c] = grid
         res = fn(Tile(data, present, r0, c0, core))
-        pick = core if emit is None else core & res[emit]
+        n = len(res[names[0]])
+        return {**{k: np.repeat(columns[k][:1], n) for k in keys}, **{m: res[m] for m in names}}
+
+    return stream_groups(p, part, ["row_", "col_", *inputs], one, ddl)
+
+
+def block_map(px: DataFrame, fn: Callable[[Tile], dict[str, np.ndarray]], outputs: str, halo: int, keys: Sequence[str] = ("raster_id",),
+              inputs: Sequence[str] | None = None, block: int = BLOCK, emit: str | None = None) -> DataFrame:
+    """Like :func:`block_rows` for functions that return arrays of the tile's shape: one row per own pixel.
+
+    ``emit`` names a boolean output that selects the pixels to return (all by default).
+    """
+    names = [o.strip().split()[0] for o in outputs.split(",")]
+
+    def pixels(t: Tile) -> dict[str, np.ndarray]:
+        res = fn(t)
+        pick = t.core if emit is None else t.core & res[emit]
         y, x = np.nonzero(pick)
-        out = {k: [key[i]] * len(y) for i, k in enumerate(keys)}
-        out["row_"], out["col_"] = y + r0, x + c0
-        for n in names:
-            out[n] = res[n][pick]
-        return pd.DataFrame(out)
+        return {"row_": y + t.row0, "col_": x + t.col0, **{n: res[n][pick] for n in names}}
 
-    return p.groupBy(*keys, "_br", "_bc").applyInPandas(run, ddl)
+    return block_rows(px, pixels, f"row_ int, col_ int, {outputs}", halo, keys, inputs, block)
 
 
 def dilate(px: DataFrame, mask: str, offsets, out: str = "dilated", keep: Sequence[str] = (), keys=("raster_id",), block: int = BLOCK) -> DataFrame:
@@ -207,22 +270,15 @@ def tolerance_marks(px: DataFrame, prob: str, gt: str, thresholds: Sequence[floa
             use &= t[within] == 1
         g = use & (t[gt] == 1)
         near_g = A.stencil_max(g.astype(np.uint8), offs, 0) > 0
-        res = {"counts": np.empty(t.core.shape, dtype=object), "_first": np.zeros(t.core.shape, dtype=bool)}
-        rows = []
-        for i, thr in enumerate(thresholds):
+        c = t.core
+        found = []
+        for thr in thresholds:
             p = use & (t[prob] >= thr)
             near_p = A.stencil_max(p.astype(np.uint8), offs, 0) > 0
-            c = t.core
-            rows.append([float(i), float((p & near_g & c).sum()), float((p & ~near_g & c).sum()), float((g & ~near_p & c).sum())])
-        y, x = np.argwhere(t.core)[0]
-        res["counts"][y, x] = rows
-        res["_first"][y, x] = True
-        return res
+            found.append([(p & near_g & c).sum(), (p & ~near_g & c).sum(), (g & ~near_p & c).sum()])
+        tp, fp, fn_ = np.array(found, dtype=np.int64).T
+        return {"ord": np.arange(len(thresholds)), "threshold": np.array(thresholds), "tp": tp, "fp": fp, "fn": fn_}
 
     cols = list(dict.fromkeys([prob, gt] + ([within] if within else [])))
-    b = block_map(px, fn, "counts array<array<double>>, _first boolean", radius, keys, cols, block, emit="_first")
-    e = b.select(*keys, F.explode("counts").alias("c"))
-    thr = F.array(*[F.lit(x) for x in thresholds])
-    ordinal = F.col("c")[0].cast("int")
-    return e.groupBy(*keys, ordinal.alias("ord")).agg(
-        F.max(thr[ordinal]).alias("threshold"), *[F.sum(F.col("c")[i + 1]).cast("bigint").alias(n) for i, n in enumerate(("tp", "fp", "fn"))])
+    b = block_rows(px, fn, "ord int, threshold double, tp bigint, fp bigint, fn bigint", radius, keys, cols, block)
+    return b.groupBy(*keys, "ord").agg(F.max("threshold").alias("threshold"), *[F.sum(n).alias(n) for n in ("tp", "fp", "fn")])
