@@ -17,6 +17,11 @@ def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1), point(x0, y0))
 
 
+def let(value: Column, fn) -> Column:
+    """Bind an expression once, so that using it several times does not multiply the expression tree."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def _steps(ring: Column) -> Column:
     """Consecutive vertex pairs (a, b)."""
     n = F.size(ring)
@@ -62,7 +67,7 @@ def centroid(rings: Column) -> tuple[Column, Column]:
             return F.when(signed < 0, -m).otherwise(m)
         rest = F.slice(rings, F.lit(2), F.greatest(F.size(rings) - 1, F.lit(0)))
         return one(rings[0]) - _fold(rest, one)
-    a = polygon_area(rings)
+    a = F.nullif(polygon_area(rings), F.lit(0.0))
     return moment("x") / a, moment("y") / a
 
 
@@ -71,7 +76,8 @@ def contains(rings: Column, x: Column, y: Column) -> Column:
     def crossings(ring):
         def hit(s):
             up = (s["a"]["y"] <= y) != (s["b"]["y"] <= y)
-            at = s["a"]["x"] + (y - s["a"]["y"]) * (s["b"]["x"] - s["a"]["x"]) / (s["b"]["y"] - s["a"]["y"])
+            rise = F.nullif(s["b"]["y"] - s["a"]["y"], F.lit(0.0))
+            at = s["a"]["x"] + (y - s["a"]["y"]) * (s["b"]["x"] - s["a"]["x"]) / rise
             return F.when(up & (x < at), F.lit(1.0)).otherwise(F.lit(0.0))
         return _fold(_steps(ring), hit)
     return (_fold(rings, crossings) % 2) == 1
@@ -94,14 +100,14 @@ def clip_to_box(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) ->
             c = cross(a, b)
             return (F.when(inside(a) & inside(b), F.array(b)).when(inside(a) & ~inside(b), F.array(c))
                     .when(~inside(a) & inside(b), F.array(c, b)).otherwise(F.array().cast(RING)))
-        pts = F.flatten(F.transform(_steps(r), step))
-        return F.when(F.size(pts) > 0, F.concat(pts, F.slice(pts, 1, 1))).otherwise(pts)
+        close = lambda pts: F.when(F.size(pts) > 0, F.concat(pts, F.slice(pts, 1, 1))).otherwise(pts)
+        return let(let(r, lambda q: F.flatten(F.transform(_steps(q), step))), close)
 
     def at_x(v):
-        return lambda a, b: point(v, a["y"] + (b["y"] - a["y"]) * (v - a["x"]) / (b["x"] - a["x"]))
+        return lambda a, b: point(v, a["y"] + (b["y"] - a["y"]) * (v - a["x"]) / F.nullif(b["x"] - a["x"], F.lit(0.0)))
 
     def at_y(v):
-        return lambda a, b: point(a["x"] + (b["x"] - a["x"]) * (v - a["y"]) / (b["y"] - a["y"]), v)
+        return lambda a, b: point(a["x"] + (b["x"] - a["x"]) * (v - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)), v)
 
     r = cut(ring, lambda p: p["x"] >= x0, at_x(x0))
     r = cut(r, lambda p: p["x"] <= x1, at_x(x1))
@@ -109,6 +115,64 @@ def clip_to_box(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) ->
     return cut(r, lambda p: p["y"] <= y1, at_y(y1))
 
 
+def segment_meets_box(a: Column, b: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Closed segment and closed box share a point (separating axes)."""
+    hx, hy = (x1 - x0) / 2, (y1 - y0) / 2
+    dx, dy = (b["x"] - a["x"]) / 2, (b["y"] - a["y"]) / 2
+    mx, my = (a["x"] + b["x"]) / 2 - (x0 + x1) / 2, (a["y"] + b["y"]) / 2 - (y0 + y1) / 2
+    return ((F.abs(mx) <= hx + F.abs(dx)) & (F.abs(my) <= hy + F.abs(dy)) & (F.abs(dx * my - dy * mx) <= hx * F.abs(dy) + hy * F.abs(dx)))
+
+
+def intersects_box(rings: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """An edge meets the box, or the box lies wholly inside the polygon."""
+    hit = F.exists(rings, lambda r: F.exists(_steps(r), lambda s: segment_meets_box(s["a"], s["b"], x0, y0, x1, y1)))
+    return hit | contains(rings, (x0 + x1) / 2, (y0 + y1) / 2)
+
+
+def is_box(ring: Column) -> Column:
+    """Closed ring of four axis-parallel edges."""
+    parallel = F.forall(_steps(ring), lambda s: (s["a"]["x"] == s["b"]["x"]) | (s["a"]["y"] == s["b"]["y"]))
+    return (F.size(ring) == 5) & parallel & (F.abs(ring_area(ring)) > 0)
+
+
+def box_overlap(rings: Column, boxes: Column) -> Column:
+    """Intersection area when every ring of ``boxes`` is an axis-parallel box: shell and hole terms by sign."""
+    def within(b):
+        areas = F.transform(rings, lambda ring: let(clip_to_box(ring, b["x0"], b["y0"], b["x1"], b["y1"]), lambda q: F.abs(ring_area(q))))
+        return let(areas, _first_minus_rest)
+
+    def against(box):
+        edge = bounds(F.array(box))
+        return let(F.struct(*[e.alias(n) for n, e in edge.items()]), within)
+
+    return let(F.transform(boxes, against), _first_minus_rest)
+
+
+def _first_minus_rest(values: Column) -> Column:
+    return values[0] * 2.0 - F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+
+
+def point_at_length(rings: Column, t: Column) -> Column:
+    """Point at distance ``t`` along the boundary, shell first."""
+    start = F.struct(t.cast("double").alias("rest"), F.lit(None).cast("double").alias("x"), F.lit(None).cast("double").alias("y"))
+
+    def walk(acc, s):
+        n = F.hypot(s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"])
+        here = acc["rest"].isNotNull() & (acc["rest"] <= n)
+        f = acc["rest"] / F.nullif(n, F.lit(0.0))
+        return F.struct(
+            F.when(acc["rest"].isNotNull() & ~here, acc["rest"] - n).alias("rest"),
+            F.when(here, s["a"]["x"] + (s["b"]["x"] - s["a"]["x"]) * f).otherwise(acc["x"]).alias("x"),
+            F.when(here, s["a"]["y"] + (s["b"]["y"] - s["a"]["y"]) * f).otherwise(acc["y"]).alias("y"))
+    return F.aggregate(F.flatten(F.transform(rings, _steps)), start, walk)
+
+
+def steps(rings: Column) -> Column:
+    """All edges of a polygon with ring and position: array of (ring, i, a, b)."""
+    indexed = F.transform(rings, lambda r, k: F.transform(_steps(r), lambda s, i: F.struct(k.alias("ring"), i.alias("i"), s["a"].alias("a"), s["b"].alias("b"))))
+    return F.flatten(indexed)
+
+
 # WGS84 ellipsoid and transverse Mercator constants (fixed values).
 WGS84_A = 6378137.0
 WGS84_F = 1.0 / 298.257223563

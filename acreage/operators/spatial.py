@@ -86,17 +86,34 @@ def _pairs_in_cells(left: DataFrame, right: DataFrame, keys: Sequence[str], size
     return j.filter(meet & home).drop("_cx", "_cy")
 
 
-def far_points(points: DataFrame, boxes: DataFrame, distance: float, keys: Sequence[str] = (), cell: float = 32.0) -> DataFrame:
-    """Points (x, y) farther than ``distance`` from every box: anti-join on the grid cell plus exact distance."""
-    size = max(cell, distance)
-    b = boxes.select(*keys, *BOX)
-    b = b.withColumn("_cx", F.explode(_cells(F.col("x0") - distance, F.col("x1") + distance, size)))
-    b = b.withColumn("_cy", F.explode(_cells(F.col("y0") - distance, F.col("y1") + distance, size)))
-    b = b.select(*[F.col(c).alias(f"_b{c}") for c in b.columns])
+def far_from_polygons(points: DataFrame, polys: DataFrame, distance: float, keys: Sequence[str] = (), cell: float = 32.0) -> DataFrame:
+    """Points (x, y) farther than ``distance`` from every polygon (columns rings, x0, y0, x1, y1).
+
+    Two anti-joins on grid cells: points near an edge, then points inside a polygon.
+    """
+    from acreage.functions.geometry import contains
+    from acreage.operators.vectors import edges_of
+    size = max(cell, float(distance))
+    keys = list(keys)
     p = points.withColumn("_cx", F.floor(F.col("x") / size).cast("int")).withColumn("_cy", F.floor(F.col("y") / size).cast("int"))
-    dx = F.greatest(F.col("_bx0") - F.col("x"), F.lit(0.0), F.col("x") - F.col("_bx1"))
-    dy = F.greatest(F.col("_by0") - F.col("y"), F.lit(0.0), F.col("y") - F.col("_by1"))
-    cond = (p["_cx"] == F.col("_b_cx")) & (p["_cy"] == F.col("_b_cy")) & (dx * dx + dy * dy <= F.lit(float(distance) ** 2))
-    for k in keys:
-        cond = cond & (p[k] == F.col(f"_b{k}"))
-    return p.join(b, cond, "left_anti").drop("_cx", "_cy")
+
+    def anti(p, right, test):
+        right = right.select(*[F.col(c).alias(f"_b{c}") for c in right.columns])
+        cond = (p["_cx"] == F.col("_b_cx")) & (p["_cy"] == F.col("_b_cy")) & test
+        for k in keys:
+            cond = cond & (p[k] == F.col(f"_b{k}"))
+        return p.join(right, cond, "left_anti")
+
+    def celled(df, lx, ly, hx, hy, pad):
+        df = df.withColumn("_cx", F.explode(_cells(lx - pad, hx + pad, size)))
+        return df.withColumn("_cy", F.explode(_cells(ly - pad, hy + pad, size)))
+
+    e = edges_of(polys, keys)
+    e = celled(e, F.least("ax", "bx"), F.least("ay", "by"), F.greatest("ax", "bx"), F.greatest("ay", "by"), float(distance))
+    dx, dy = F.col("_bbx") - F.col("_bax"), F.col("_bby") - F.col("_bay")
+    t = ((F.col("x") - F.col("_bax")) * dx + (F.col("y") - F.col("_bay")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
+    t = F.coalesce(F.least(F.lit(1.0), F.greatest(F.lit(0.0), t)), F.lit(0.0))
+    ex, ey = F.col("x") - F.col("_bax") - t * dx, F.col("y") - F.col("_bay") - t * dy
+    p = anti(p, e, ex * ex + ey * ey <= F.lit(float(distance) ** 2))
+    inner = celled(polys.select(*keys, "rings", *BOX), F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"), 0.0)
+    return anti(p, inner, contains(F.col("_brings"), F.col("x"), F.col("y"))).drop("_cx", "_cy")

@@ -57,6 +57,16 @@ SELECT c_custkey AS feat_index, c_nationkey AS orig_fid,
        c_custkey % 7 = 0 AS has_hole, c_custkey % 11 = 0 AS is_empty, c_custkey % 13 = 0 AS is_multi,
        c_custkey % 17 = 0 AS is_bowtie
 FROM {customer}""",
+    "field_parts": """
+SELECT f.feat_index, f.orig_fid, p.part, x0 + 12 * p.part AS x0, y0, x1 + 12 * p.part AS x1, y1, has_hole AND NOT is_bowtie AS has_hole, is_bowtie
+FROM {fields} f CROSS JOIN (VALUES (0), (1)) p(part) WHERE NOT is_empty AND (p.part = 0 OR is_multi)""",
+    "field_edges": """
+SELECT feat_index, orig_fid, part, 0 AS ring, e.i, x0 + e.ax * (x1 - x0) AS ax, y0 + e.ay * (y1 - y0) AS ay, x0 + e.bx * (x1 - x0) AS bx, y0 + e.by_ * (y1 - y0) AS by_
+FROM {field_parts} f CROSS JOIN (VALUES (false, 0, 0, 0, 1, 0), (false, 1, 1, 0, 1, 1), (false, 2, 1, 1, 0, 1), (false, 3, 0, 1, 0, 0),
+  (true, 0, 0, 0, 1, 0), (true, 1, 1, 0, 0, 1), (true, 2, 0, 1, 1, 1), (true, 3, 1, 1, 0, 0)) e(bow, i, ax, ay, bx, by_) WHERE e.bow = f.is_bowtie
+UNION ALL
+SELECT feat_index, orig_fid, part, 1, e.i, x0 + 1 + e.ax * (x1 - x0 - 2), y0 + 1 + e.ay * (y1 - y0 - 2), x0 + 1 + e.bx * (x1 - x0 - 2), y0 + 1 + e.by_ * (y1 - y0 - 2)
+FROM {field_parts} f CROSS JOIN (VALUES (0, 0, 0, 1, 0), (1, 1, 0, 1, 1), (2, 1, 1, 0, 1), (3, 0, 1, 0, 0)) e(i, ax, ay, bx, by_) WHERE f.has_hole""",
     "raster_meta": """
 SELECT CAST(s_suppkey AS INT) AS raster_id, concat('ds_', CAST(s_nationkey AS VARCHAR(20))) AS dataset,
        CAST(200 + s_suppkey % 50 AS INT) AS width, CAST(100 + s_suppkey % 30 AS INT) AS height,
