@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from acreage.functions import geometry as G
 from acreage.operators.spatial import box_pairs
-from acreage.session import join_checked, number_rows
+from acreage.session import join_checked, materialize, number_rows
 
 KEYS = ("raster_id",)
 
@@ -41,6 +41,7 @@ def invalid_parts(polys: DataFrame, ids: Sequence[str], cell: float = 32.0) -> D
     e = edges_of(polys, ids).select(
         *ids, "ring", "i", "ax", "ay", "bx", "by", F.least("ax", "bx").alias("x0"), F.least("ay", "by").alias("y0"),
         F.greatest("ax", "bx").alias("x1"), F.greatest("ay", "by").alias("y1"))
+    e = materialize(e)
     p = box_pairs(e, e, ids, cell).filter(F.struct("l_ring", "l_i") < F.struct("r_ring", "r_i"))
     side = lambda a, b, c: (F.col(f"{b}x") - F.col(f"{a}x")) * (F.col(f"{c}y") - F.col(f"{a}y")) - (F.col(f"{b}y") - F.col(f"{a}y")) * (F.col(f"{c}x") - F.col(f"{a}x"))
     crossing = (side("l_a", "l_b", "r_a") * side("l_a", "l_b", "r_b") < 0) & (side("r_a", "r_b", "l_a") * side("r_a", "r_b", "l_b") < 0)

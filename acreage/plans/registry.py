@@ -60,6 +60,9 @@ FROM {customer}""",
     "field_parts": """
 SELECT f.feat_index, f.orig_fid, p.part, x0 + 12 * p.part AS x0, y0, x1 + 12 * p.part AS x1, y1, has_hole AND NOT is_bowtie AS has_hole, is_bowtie
 FROM {fields} f CROSS JOIN (VALUES (0), (1)) p(part) WHERE NOT is_empty AND (p.part = 0 OR is_multi)""",
+    "pred_parts": """
+SELECT f.feat_index, f.orig_fid, p.part, x0 + 12 * p.part AS x0, y0, x1 + 12 * p.part AS x1, y1, has_hole AND NOT is_bowtie AS has_hole, is_bowtie
+FROM {fields_pred} f CROSS JOIN (VALUES (0), (1)) p(part) WHERE NOT is_empty AND (p.part = 0 OR is_multi)""",
     "field_edges": """
 SELECT feat_index, orig_fid, part, 0 AS ring, e.i, x0 + e.ax * (x1 - x0) AS ax, y0 + e.ay * (y1 - y0) AS ay, x0 + e.bx * (x1 - x0) AS bx, y0 + e.by_ * (y1 - y0) AS by_
 FROM {field_parts} f CROSS JOIN (VALUES (false, 0, 0, 0, 1, 0), (false, 1, 1, 0, 1, 1), (false, 2, 1, 1, 0, 1), (false, 3, 0, 1, 0, 0),

@@ -160,9 +160,9 @@ def repair_geometry(spark, sf):
     return r.groupBy(*IDS).agg(F.count("*").cast("int").alias("pieces"), F.round(F.sum(G.polygon_area(c("rings"))), 6).alias("area"))
 
 
-@query("simplify_polygons", "SELECT feat_index, part, CASE WHEN is_bowtie THEN 5 ELSE 4 + 1 END AS n_points, round(CASE WHEN is_bowtie THEN 0e0 ELSE (x1 - x0) * (y1 - y0) END, 6) AS area FROM field_parts")
+@query("simplify_polygons", "SELECT feat_index, part, CASE WHEN is_bowtie THEN 6 ELSE 5 END AS n_points, round(CASE WHEN is_bowtie THEN (x1 - x0) * 0.025e0 ELSE (x1 - x0) * (y1 - y0) END, 6) AS area FROM field_parts")
 def simplify_polygons(spark, sf):
-    """Shells with an extra vertex 0.05 off the lower edge come back as plain boxes at tolerance 0.2."""
+    """Shells with an extra vertex 0.05 off the lower edge come back as plain boxes at tolerance 0.2; invalid ones stay as they are."""
     p = polygons(spark, sf)
     shell = c("rings")[0]
     mid = G.point((shell[0]["x"] + shell[1]["x"]) / 2, shell[0]["y"] - 0.05)
