@@ -17,11 +17,6 @@ def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1), point(x0, y0))
 
 
-def let(value: Column, fn) -> Column:
-    """Bind an expression once, so that using it several times does not multiply the expression tree."""
-    return F.element_at(F.transform(F.array(value), fn), 1)
-
-
 def _steps(ring: Column) -> Column:
     """Consecutive vertex pairs (a, b)."""
     n = F.size(ring)
@@ -92,29 +87,6 @@ def map_points(rings: Column, fn) -> Column:
     return F.transform(rings, lambda r: F.transform(r, lambda p: point(*fn(p["x"], p["y"]))))
 
 
-def clip_to_box(ring: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
-    """Part of a ring inside a box: four half-plane cuts in turn. Exact areas for convex and star-free rings."""
-    def cut(r, inside, cross):
-        def step(s):
-            a, b = s["a"], s["b"]
-            c = cross(a, b)
-            return (F.when(inside(a) & inside(b), F.array(b)).when(inside(a) & ~inside(b), F.array(c))
-                    .when(~inside(a) & inside(b), F.array(c, b)).otherwise(F.array().cast(RING)))
-        close = lambda pts: F.when(F.size(pts) > 0, F.concat(pts, F.slice(pts, 1, 1))).otherwise(pts)
-        return let(let(r, lambda q: F.flatten(F.transform(_steps(q), step))), close)
-
-    def at_x(v):
-        return lambda a, b: point(v, a["y"] + (b["y"] - a["y"]) * (v - a["x"]) / F.nullif(b["x"] - a["x"], F.lit(0.0)))
-
-    def at_y(v):
-        return lambda a, b: point(a["x"] + (b["x"] - a["x"]) * (v - a["y"]) / F.nullif(b["y"] - a["y"], F.lit(0.0)), v)
-
-    r = cut(ring, lambda p: p["x"] >= x0, at_x(x0))
-    r = cut(r, lambda p: p["x"] <= x1, at_x(x1))
-    r = cut(r, lambda p: p["y"] >= y0, at_y(y0))
-    return cut(r, lambda p: p["y"] <= y1, at_y(y1))
-
-
 def segment_meets_box(a: Column, b: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     """Closed segment and closed box share a point (separating axes)."""
     hx, hy = (x1 - x0) / 2, (y1 - y0) / 2
@@ -135,21 +107,22 @@ def is_box(ring: Column) -> Column:
     return (F.size(ring) == 5) & parallel & (F.abs(ring_area(ring)) > 0)
 
 
-def box_overlap(rings: Column, boxes: Column) -> Column:
-    """Intersection area when every ring of ``boxes`` is an axis-parallel box: shell and hole terms by sign."""
-    def within(b):
-        areas = F.transform(rings, lambda ring: let(clip_to_box(ring, b["x0"], b["y0"], b["x1"], b["y1"]), lambda q: F.abs(ring_area(q))))
-        return let(areas, _first_minus_rest)
-
-    def against(box):
-        edge = bounds(F.array(box))
-        return let(F.struct(*[e.alias(n) for n, e in edge.items()]), within)
-
-    return let(F.transform(boxes, against), _first_minus_rest)
+def as_boxes(rings: Column) -> Column:
+    """Bounds of every ring when all rings are axis-parallel boxes, NULL otherwise. ``sign`` is -1 for holes."""
+    def one(ring, i):
+        xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
+        return F.struct(F.array_min(xs).alias("x0"), F.array_min(ys).alias("y0"), F.array_max(xs).alias("x1"), F.array_max(ys).alias("y1"),
+                        F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("sign"))
+    return F.when(F.forall(rings, is_box), F.transform(rings, one))
 
 
-def _first_minus_rest(values: Column) -> Column:
-    return values[0] * 2.0 - F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+def boxes_overlap(a: Column, b: Column) -> Column:
+    """Intersection area of two box polygons: shell and hole terms by sign."""
+    def pair(p, q):
+        w = F.least(p["x1"], q["x1"]) - F.greatest(p["x0"], q["x0"])
+        h = F.least(p["y1"], q["y1"]) - F.greatest(p["y0"], q["y0"])
+        return F.greatest(w, F.lit(0.0)) * F.greatest(h, F.lit(0.0)) * p["sign"] * q["sign"]
+    return F.aggregate(a, F.lit(0.0), lambda acc, p: acc + F.aggregate(b, F.lit(0.0), lambda sub, q: sub + pair(p, q)))
 
 
 def point_at_length(rings: Column, t: Column) -> Column:

@@ -131,11 +131,10 @@ def _per_row(fn, returns: str, *columns: Column) -> Column:
     return F.pandas_udf(two, returns)(*columns)
 
 
-def overlap_area(a: Column, b: Column) -> Column:
-    """Area of the intersection. Box-shaped right sides stay in the JVM; only other shapes reach Python."""
-    boxes = F.forall(b, G.is_box)
-    general = _per_row(_overlap, "double", F.when(~boxes, a), F.when(~boxes, b))
-    return F.when(boxes, G.box_overlap(a, b)).otherwise(general)
+def overlap_area(a: Column, b: Column, a_boxes: Column, b_boxes: Column) -> Column:
+    """Area of the intersection. Pairs of box polygons stay in the JVM; only other shapes reach Python."""
+    other = a_boxes.isNull() | b_boxes.isNull()
+    return F.when(other, _per_row(_overlap, "double", F.when(other, a), F.when(other, b))).otherwise(G.boxes_overlap(a_boxes, b_boxes))
 
 
 def repair(polys: DataFrame, ids: Sequence[str], mode: str = "make_valid") -> DataFrame:

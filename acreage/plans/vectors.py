@@ -247,9 +247,10 @@ def intersection_area(spark, sf):
     bad = V.invalid_parts(p.select(*IDS, "rings"), IDS)
     p = V.with_bounds(join_checked(p, bad, IDS, "left_anti")).drop("orig_fid")
     w = windows(spark, sf).select("win", c("x").cast("double").alias("x0"), c("y").cast("double").alias("y0"), (c("x") + c("w")).cast("double").alias("x1"), (c("y") + c("h")).cast("double").alias("y1"))
-    j = X.box_pairs(w, p)
-    box = F.array(G.box_ring(c("l_x0"), c("l_y0"), c("l_x1"), c("l_y1")))
-    area = V.overlap_area(c("r_rings"), box)
+    w = w.withColumn("rings", F.array(G.box_ring(c("x0"), c("y0"), c("x1"), c("y1"))))
+    both = lambda d: d.withColumn("boxes", G.as_boxes(c("rings")))
+    j = X.box_pairs(both(w), both(p))
+    area = V.overlap_area(c("l_rings"), c("r_rings"), c("l_boxes"), c("r_boxes"))
     return j.select(c("l_win").alias("win"), c("r_feat_index").alias("feat_index"), c("r_part").alias("part"), F.round(area, 6).alias("area")).filter("area > 0")
 
 
