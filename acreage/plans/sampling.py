@@ -79,7 +79,7 @@ WITH RECURSIVE fp AS (SELECT *, row_number() OVER (ORDER BY feat_index, part) -
  pw AS (SELECT *, pre IS NULL AND x >= 0 AND y >= 0 AND x + 16 <= 250 AND y + 16 <= {HEIGHT} AS placed FROM pl), ex AS (SELECT DISTINCT row_, col_ FROM ({FILL})),
  fx AS (SELECT p.row_, p.col_, valid, CASE WHEN ex.row_ IS NULL THEN 0 ELSE 1 END AS extent FROM scene_px p LEFT JOIN ex USING (row_, col_)),
  rt AS (SELECT k, attempt, avg(CAST(valid AS DOUBLE)) AS vr, avg(CAST(extent AS DOUBLE)) AS mr FROM pw JOIN fx ON placed AND col_ >= x AND col_ < x + 16 AND row_ >= y AND row_ < y + 16 GROUP BY k, attempt),
- jd AS (SELECT pw.k, pw.attempt, x, y, placed, vr, mr, coalesce(pre, CASE WHEN NOT placed THEN 'oob' WHEN vr < 0.95e0 THEN 'valid' WHEN k = 3 AND mr > 0.05e0 THEN 'neg_mask' WHEN k < 3 AND (mr < 0.05e0 OR mr > 0.9e0) THEN 'mask' END) AS reject FROM pw LEFT JOIN rt ON rt.k = pw.k AND rt.attempt = pw.attempt),
+ jd AS (SELECT pw.k, pw.attempt, x, y, placed, vr, mr, coalesce(pre, CASE WHEN NOT placed THEN 'oob' WHEN vr < 0.95e0 THEN 'valid' WHEN pw.k = 3 AND mr > 0.05e0 THEN 'neg_mask' WHEN pw.k < 3 AND (mr < 0.05e0 OR mr > 0.9e0) THEN 'mask' END) AS reject FROM pw LEFT JOIN rt ON rt.k = pw.k AND rt.attempt = pw.attempt),
  ac AS (SELECT k, attempt, row_number() OVER (PARTITION BY k ORDER BY attempt) AS n FROM jd WHERE reject IS NULL), st AS (SELECT k, attempt AS stop FROM ac WHERE (k = 1 AND n = 120) OR (k = 2 AND n = 90) OR (k = 3 AND n = 40)),
  ke AS (SELECT jd.* FROM jd LEFT JOIN st USING (k) WHERE stop IS NULL OR attempt <= stop), ix AS (SELECT k, attempt, row_number() OVER (ORDER BY k, attempt) - 1 AS patch_idx FROM ke WHERE placed)
 SELECT CASE k WHEN 1 THEN 'center' WHEN 2 THEN 'boundary' ELSE 'negative' END AS kind, attempt, reject, patch_idx, CASE WHEN placed THEN x END AS x, CASE WHEN placed THEN y END AS y, vr AS valid_ratio, mr AS mask_ratio FROM ke LEFT JOIN ix USING (k, attempt)"""
