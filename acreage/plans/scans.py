@@ -171,7 +171,7 @@ def alignment_check(spark, sf):
     return K.aligned(m, other, "raster_id")
 
 
-CHECKS = """x AS (SELECT m.*, f.band_count AS ebc, f.dtype AS edt, f.nodata AS end_, CAST((raster_id * 7) % 10 AS DOUBLE) / 10 AS valid_ratio FROM raster_meta m CROSS JOIN (SELECT * FROM raster_meta ORDER BY raster_id LIMIT 1) f),
+CHECKS = """x AS (SELECT m.*, f.ebc, f.edt, f.end_, CAST((raster_id * 7) % 10 AS DOUBLE) / 10 AS valid_ratio FROM raster_meta m CROSS JOIN (SELECT band_count AS ebc, dtype AS edt, nodata AS end_ FROM raster_meta ORDER BY raster_id LIMIT 1) f),
  chk AS (SELECT raster_id, dataset, valid_ratio, concat_ws(',', CASE WHEN epsg IS NULL THEN 'crs_missing' END, CASE WHEN abs(b) > 1e-12 OR abs(d) > 1e-12 THEN 'rotated' END, CASE WHEN band_count <> ebc THEN 'band_count_mismatch' END, CASE WHEN dtype <> edt THEN 'dtype_mismatch' END) AS errors,
  concat_ws(',', CASE WHEN end_ IS NOT NULL AND nodata IS DISTINCT FROM end_ THEN 'nodata_mismatch' END, CASE WHEN nodata IS NULL THEN 'nodata_missing' END, CASE WHEN valid_ratio < 0.7e0 THEN 'low_valid_ratio' END) AS warnings FROM x)"""
 

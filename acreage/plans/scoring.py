@@ -46,14 +46,14 @@ def tile_pad(spark, sf):
 WITH {TILES}, p AS (SELECT row_, col_, row_ - tl.y AS r, col_ - tl.x AS k, tl.h, extent_prob * (1 + tl.x / 1000e0) AS e, boundary_prob * (1 - tl.x / 1000e0) AS b FROM tl JOIN scene_px s ON col_ >= tl.x AND col_ < tl.x + 64 AND row_ >= tl.y AND row_ < tl.y + tl.h),
  g AS (SELECT *, -1 + 2e0 * k / 63 AS gx, CASE WHEN h <= 1 THEN -1e0 ELSE -1 + 2e0 * r / (h - 1) END AS gy, exp(-0.5e0 * (pow(1e0 / 63, 2) + CASE WHEN h % 2 = 1 THEN 0e0 ELSE pow(1e0 / (h - 1), 2) END) / 0.09e0) AS pk FROM p),
  w AS (SELECT *, greatest(0.05e0, exp(-0.5e0 * (gx * gx + gy * gy) / 0.09e0) / greatest(pk, 1e-6)) AS w FROM g)
-SELECT row_, col_, round(sum(e * w) / greatest(sum(w), 1e-6), 6) AS extent_prob, round(sum(b * w) / greatest(sum(w), 1e-6), 6) AS boundary_prob FROM w GROUP BY row_, col_""")
+SELECT row_, col_, round(sum(e * w) / greatest(sum(w), 1e-6), 9) AS extent_prob, round(sum(b * w) / greatest(sum(w), 1e-6), 9) AS boundary_prob FROM w GROUP BY row_, col_""")
 def blend_tiles(spark, sf):
     tiles = S.tile_windows(scene_meta(spark, sf), 64, 48)
     px = fixture(spark, sf, "scene_px").select("raster_id", "row_", "col_", "extent_prob", "boundary_prob")
     t = S.tile_pixels(px, tiles, cell=64)
     t = t.withColumn("extent_prob", c("extent_prob") * (F.lit(1) + c("x") / 1000.0)).withColumn("boundary_prob", c("boundary_prob") * (F.lit(1) - c("x") / 1000.0))
     b = S.blend(t, ["extent_prob", "boundary_prob"], S.blend_weight("gaussian"))
-    return b.select("row_", "col_", F.round("extent_prob", 6).alias("extent_prob"), F.round("boundary_prob", 6).alias("boundary_prob"))
+    return b.select("row_", "col_", F.round("extent_prob", 9).alias("extent_prob"), F.round("boundary_prob", 9).alias("boundary_prob"))
 
 
 def linear_model(chip: np.ndarray):

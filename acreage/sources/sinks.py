@@ -21,7 +21,8 @@ def first_bands(px: DataFrame, bands: Sequence[str], n: int) -> DataFrame:
 def write_patch_layers(px: DataFrame, ids: Sequence[str], layers: Sequence[str], partition: str, path: str) -> None:
     """One row per patch; each layer is an array in scan order. A patch has a fixed, small size."""
     rows = px.groupBy(*ids).agg(F.array_sort(F.collect_list(F.struct("row_", "col_", *layers))).alias("_p"))
-    rows.select(*ids, *[F.transform("_p", lambda s, n=n: s[n]).alias(n) for n in layers]).write.mode("overwrite").partitionBy(partition).parquet(path)
+    layer = lambda n: F.transform("_p", lambda s: s[n]).alias(n)
+    rows.select(*ids, *[layer(n) for n in layers]).write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
