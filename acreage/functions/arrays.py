@@ -53,15 +53,16 @@ def stencil_min(a: np.ndarray, offsets, fill):
     return out
 
 
-def label4(mask: np.ndarray) -> np.ndarray:
-    """4-connected components; the id is the first row-run of the component in scan order, 0 outside."""
-    if not mask.any():
-        return np.zeros(mask.shape, dtype=np.int64)
-    start = mask.copy()
-    start[:, 1:] &= ~mask[:, :-1]
-    run = np.cumsum(start.ravel()).reshape(mask.shape) * mask
+def label4(values: np.ndarray) -> np.ndarray:
+    """4-connected regions of equal positive value (or of a mask); the id is the first row-run in scan order, 0 outside."""
+    inside = values > 0
+    if not inside.any():
+        return np.zeros(values.shape, dtype=np.int64)
+    start = inside.copy()
+    start[:, 1:] &= values[:, 1:] != values[:, :-1]
+    run = np.cumsum(start.ravel()).reshape(values.shape) * inside
     parent = np.arange(int(run.max()) + 1)
-    both = mask[1:] & mask[:-1]
+    both = inside[1:] & (values[1:] == values[:-1])
     a, b = run[:-1][both], run[1:][both]
     while True:
         pa, pb = parent[a], parent[b]
@@ -76,6 +77,18 @@ def label4(mask: np.ndarray) -> np.ndarray:
             parent = up
 
 
+def boxes_of(labels: np.ndarray):
+    """(value, row range, column range) of every positive label, ascending."""
+    y, x = np.nonzero(labels > 0)
+    values, inv = np.unique(labels[y, x], return_inverse=True)
+    n = len(values)
+    lo, hi = np.full((2, n), np.iinfo(np.int64).max), np.full((2, n), -1)
+    for k, v in enumerate((y, x)):
+        np.minimum.at(lo[k], inv, v)
+        np.maximum.at(hi[k], inv, v)
+    return [(values[i], (lo[0, i], hi[0, i]), (lo[1, i], hi[1, i])) for i in range(n)]
+
+
 def sizes_of(labels: np.ndarray) -> np.ndarray:
     """Size of every pixel's component (label 0 gets the size of the background)."""
     return np.bincount(labels.ravel())[labels]

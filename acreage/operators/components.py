@@ -139,10 +139,8 @@ def fill_holes_exact(labels: DataFrame, max_area: int, keys: Sequence[str] = KEY
     def fn(t: Tile):
         lab = t["label"]
         out = lab.copy()
-        for value in np.unique(lab[lab > 0]):
-            y, x = np.nonzero(lab == value)
-            ys = slice(max(0, y.min() - limit), y.max() + limit + 1)
-            xs = slice(max(0, x.min() - limit), x.max() + limit + 1)
+        for value, (top, bottom), (left, right) in A.boxes_of(lab):
+            ys, xs = slice(max(0, top - limit), bottom + limit + 1), slice(max(0, left - limit), right + limit + 1)
             rest = t.present[ys, xs] & (lab[ys, xs] != value)
             small = rest & (A.sizes_of(A.label4(rest)) < limit)
             sub = out[ys, xs]

@@ -80,7 +80,9 @@ def stream_groups(df: DataFrame, group: Sequence[str], inputs: Sequence[str], fn
             if last is not None:
                 yield pack([last])
 
-    return df.select(*names_in).repartition(*group).sortWithinPartitions(*group).mapInArrow(run, ddl)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # a fixed number, so that adaptive coalescing (by bytes) does not put compute-heavy groups on few cores
+    return df.select(*names_in).repartition(parts, *group).sortWithinPartitions(*group).mapInArrow(run, ddl)
 
 
 def block_rows(px: DataFrame, fn: Callable[[Tile], dict[str, np.ndarray]], outputs: str, halo: int, keys: Sequence[str] = ("raster_id",),

@@ -29,7 +29,7 @@ def edges_of(polys: DataFrame, keep: Sequence[str]) -> DataFrame:
     return e.select(*keep, "e.ring", "e.i", F.col("e.a.x").alias("ax"), F.col("e.a.y").alias("ay"), F.col("e.b.x").alias("bx"), F.col("e.b.y").alias("by"))
 
 
-def invalid_parts(polys: DataFrame, ids: Sequence[str], cell: float = 32.0) -> DataFrame:
+def invalid_parts(polys: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Ids of polygons that are not closed, have too few points, or whose edges cross.
 
     Edges of one polygon meet through grid cells, so the work follows the local crowding and not the
@@ -42,7 +42,8 @@ def invalid_parts(polys: DataFrame, ids: Sequence[str], cell: float = 32.0) -> D
         *ids, "ring", "i", "ax", "ay", "bx", "by", F.least("ax", "bx").alias("x0"), F.least("ay", "by").alias("y0"),
         F.greatest("ax", "bx").alias("x1"), F.greatest("ay", "by").alias("y1"))
     e = materialize(e)
-    p = box_pairs(e, e, ids, cell).filter(F.struct("l_ring", "l_i") < F.struct("r_ring", "r_i"))
+    span = e.agg(F.avg(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))).first()[0]
+    p = box_pairs(e, e, ids, max(4.0 * (span or 1.0), 1e-9), hot=256).filter(F.struct("l_ring", "l_i") < F.struct("r_ring", "r_i"))
     side = lambda a, b, c: (F.col(f"{b}x") - F.col(f"{a}x")) * (F.col(f"{c}y") - F.col(f"{a}y")) - (F.col(f"{b}y") - F.col(f"{a}y")) * (F.col(f"{c}x") - F.col(f"{a}x"))
     crossing = (side("l_a", "l_b", "r_a") * side("l_a", "l_b", "r_b") < 0) & (side("r_a", "r_b", "l_a") * side("r_a", "r_b", "l_b") < 0)
     return bad.unionByName(p.filter(crossing).select(*ids)).distinct()
@@ -143,6 +144,7 @@ def repair(polys: DataFrame, ids: Sequence[str], mode: str = "make_valid") -> Da
     Adds ``was_invalid``; a repaired polygon may become several rows with a ``piece`` number.
     """
     ids = list(ids)
+    polys = materialize(polys)
     bad = invalid_parts(polys, ids).withColumn("_bad", F.lit(True))
     j = join_checked(polys, bad, ids, "left").withColumn("was_invalid", F.coalesce("_bad", F.lit(False))).drop("_bad")
     if mode == "none":
