@@ -37,10 +37,10 @@ def test_size_filters_match_global_components(spark):
 
 
 def test_merge_small_follows_serial_order(spark):
-    lab = RNG.integers(0, 40, (14, 14)).astype(np.int32)
-    lab[RNG.random((14, 14)) < 0.3] = 0
-    got = to_array(C.merge_small_exact(to_px(spark, label=lab), 6, block=5), "label", lab.shape)
-    assert (got == merge_serial(lab, 6)).all()
+    lab = np.kron(RNG.integers(0, 9, (4, 4)), np.ones((3, 3), dtype=int)).astype(np.int32)
+    lab[RNG.random(lab.shape) < 0.2] = 0
+    got = to_array(C.merge_small_exact(to_px(spark, label=lab), 12, block=5), "label", lab.shape)
+    assert (got == merge_serial(lab, 12)).all()
 
 
 def test_fill_holes_exact_blocks(spark):
