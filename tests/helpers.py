@@ -56,3 +56,21 @@ def merge_serial(lab, limit):
             counts[lab[p]] = counts.get(lab[p], 0) + 1
         lab[lab == v] = min(counts, key=lambda t: (-counts[t], t)) if counts else 0
     return lab
+
+
+def fill_serial(lab, limit):
+    """Per label in ascending order: background inside a small component of everything else."""
+    out = lab.copy()
+    for v in np.unique(lab[lab > 0]):
+        rest = flood(lab != v)
+        size = np.bincount(rest.ravel())[rest]
+        out[(rest > 0) & (size < limit) & (out == 0)] = v
+    return out
+
+
+def clean_serial(lab, fill, merge, least):
+    lab = merge_serial(fill_serial(lab, fill), merge)
+    size = np.bincount(lab.ravel())[lab]
+    lab = np.where(size < least, 0, lab)
+    ids = {v: i + 1 for i, v in enumerate(np.unique(lab[lab > 0]))}
+    return np.vectorize(lambda v: ids.get(v, 0))(lab)
