@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from acreage.functions import arrays as A
+from acreage.session import ship
 
 BLOCK = 256
 
@@ -80,6 +81,7 @@ def stream_groups(df: DataFrame, group: Sequence[str], inputs: Sequence[str], fn
             if last is not None:
                 yield pack([last])
 
+    ship(df.sparkSession)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # a fixed number, so that adaptive coalescing (by bytes) does not put compute-heavy groups on few cores
     return df.select(*names_in).repartition(parts, *group).sortWithinPartitions(*group).mapInArrow(run, ddl)

@@ -6,11 +6,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from acreage.functions import geometry as G
 from acreage.operators.spatial import box_pairs
-from acreage.session import join_checked, materialize, number_rows
+from acreage.session import join_checked, materialize, number_rows, ship
 
 KEYS = ("raster_id",)
 
@@ -119,6 +119,8 @@ def _make_valid(rings) -> list:
 
 def _per_row(fn, returns: str, *columns: Column) -> Column:
     """Arrow UDF that calls a geometry helper per row and skips NULLs."""
+    ship(SparkSession.active())
+
     def run(*series: pd.Series) -> pd.Series:
         return pd.Series([None if any(v is None for v in row) else fn(*row) for row in zip(*series)])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pathlib
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -25,6 +27,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8) -> Spar
     )
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application; they may run elsewhere or in another folder."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        package = pathlib.Path(__file__).resolve().parent
+        target = pathlib.Path(tempfile.mkdtemp(prefix="spark-", dir="/tmp")) / package.name
+        sc.addPyFile(shutil.make_archive(str(target), "zip", package.parent, package.name))
+        _SHIPPED.add(sc.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only where none is configured (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
