@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acreage.llm import quality
-from acreage.llm.common import read
+from acreage.llm import quality, simhash
+from acreage.llm.common import read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     d = quality.judge(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op1_simhash")
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    d = simhash.duplicates(stored(simhash.fingerprints(docs), "prints"))
+    return d.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
