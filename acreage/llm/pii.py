@@ -149,31 +149,48 @@ def redact(text: str, spans: list[Span]) -> str:
 SPAN_TYPE = "array<struct<kind: string, start: int, end: int, score: double>>"
 
 
+def _each(docs: DataFrame, text: str, work, schema: str) -> DataFrame:
+    """Rows of ``docs`` with ``work(columns, names, texts)`` applied to slices of bounded size, where they are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names = b.schema.names
+            for i, j in slices(b, text, TEXT_BYTES):
+                part = b.slice(i, j - i)
+                columns, made = work(list(part.columns), names, [t or "" for t in part.column(text).to_pylist()])
+                yield pa.RecordBatch.from_arrays(columns, names=made)
+
+    return docs.withColumn(text, F.col(text).cast("string")).mapInArrow(run, schema)
+
+
+def _schema(docs: DataFrame, text: str) -> str:
+    return ", ".join(f"`{f.name}` {'string' if f.name == text else f.dataType.simpleString()}" for f in docs.schema.fields)
+
+
 def annotate(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``pii_spans`` (kind, start, end in code points, score) and ``pii_redacted``, the text without them.
+    """``docs`` with ``pii_spans``: kind, start and end in code points, and score of each span.
 
-    A null text counts as empty. Rows are read and written where they are: no shuffle, repeated rows are treated alike, an
-    empty table stays empty, and input columns with one of the two new names are replaced.
+    A null text counts as empty. Nothing is shuffled, repeated rows are treated alike, an empty table stays empty, and an
+    input column of that name is replaced.
     """
-    docs = docs.drop("pii_spans", "pii_redacted")
+    docs = docs.drop("pii_spans")
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
-    at = docs.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i, j in slices(b, b.schema.names[-1], TEXT_BYTES):
-                part = b.slice(i, j - i)
-                texts = part.columns[-1].to_pylist()
-                found = [find(t) for t in texts]
-                spans = pa.array([[vars(x) for x in s] for s in found], type=kind)
-                clean = pa.array([redact(t, s) if s else t for t, s in zip(texts, found)], type=pa.string())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], spans, clean], names=[*b.schema.names[:-1], "pii_spans", "pii_redacted"])
-
-    # The text travels once; where the column itself is needed again it is the last one that is read here.
-    own = docs.select(*[F.col(f"`{c}`") for c in docs.columns], whole_text(text).alias("_whole"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    assert docs.columns[at] == text
-    return own.mapInArrow(run, f"{fields}, pii_spans {SPAN_TYPE}, pii_redacted string")
+    def work(columns, names, texts):
+        return [*columns, pa.array([[vars(x) for x in find(t)] for t in texts], type=kind)], [*names, "pii_spans"]
+
+    return _each(docs, text, work, f"{_schema(docs, text)}, pii_spans {SPAN_TYPE}")
+
+
+def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with every span in ``text`` replaced by its kind, such as <EMAIL>; a null text becomes empty."""
+
+    def work(columns, names, texts):
+        at = names.index(text)
+        clean = pa.array([redact(t, s) if (s := find(t)) else t for t in texts], type=pa.string())
+        return [*columns[:at], clean, *columns[at + 1 :]], names
+
+    return _each(docs, text, work, _schema(docs, text))
 
 
 def _joined(spans: list[Span]) -> str:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acreage.llm import quality, simhash
+from acreage.llm import pii, quality, simhash
 from acreage.llm.common import read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,9 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     d = simhash.duplicates(stored(simhash.fingerprints(docs), "prints"))
     return d.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
+@query("op4_pii")
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    return pii.digest(read(spark, sf_dir, "documents").select("doc_id", "text"))
