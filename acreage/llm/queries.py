@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
-from acreage.llm import pii, quality, simhash
+from acreage.llm import bpe, pii, quality, simhash
 from acreage.llm.common import read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +63,10 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document."""
     return pii.digest(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op3_byte_bpe")
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
