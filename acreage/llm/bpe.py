@@ -7,6 +7,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -15,10 +16,8 @@ from pyspark.sql import DataFrame, functions as F
 from acreage.llm.common import slices, whole_text
 
 TEXT_BYTES = 8 << 20
-#: Entries a worker keeps of what it has encoded; then it starts anew.
-KEEP = 400_000
-#: Longer pieces are encoded without keeping their prefixes.
-LONG = 64
+#: Entries of each kind that a worker keeps of its work; then it starts anew. Longer segments are not kept.
+KEEP, LONG = 600_000, 64
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -35,7 +34,7 @@ class Vocabulary:
         self.bytes_of: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for b, i in ranks.items():
             self.bytes_of[i] = b
-        self._beside: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """BPE by its definition, for the short strings of two tokens: merge the lowest-ranked pair, leftmost first."""
@@ -49,12 +48,12 @@ class Vocabulary:
 
     def beside(self, left: int, right: int) -> bool:
         """True if the bytes of both tokens are encoded as just these two."""
-        key = (left, right)
-        found = self._beside.get(key)
+        key = left * len(self.bytes_of) + right
+        found = self.known.get(key)
         if found is None:
-            if len(self._beside) >= KEEP:
-                self._beside.clear()
-            found = self._beside[key] = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
+            if len(self.known) >= KEEP:
+                self.known.clear()
+            found = self.known[key] = self.merge(self.bytes_of[left] + self.bytes_of[right]) == [left, right]
         return found
 
     def last_token(self, data: bytes, end: int, before: Callable[[int], int]) -> int:
@@ -118,30 +117,38 @@ class PrefixEncoder:
 
 
 class PieceEncoder:
-    """Pieces of text to ids. Last tokens are kept by prefix, so pieces that begin alike share their work."""
+    """Pieces of text to ids, prefix by prefix. An automaton over all tokens names those that end at each byte."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.last: dict[bytes, int] = {}
+        self.ends = ahocorasick.Automaton()
+        for token, i in vocabulary.ranks.items():
+            self.ends.add_word(token.decode("latin-1"), (len(token), i))
+        self.ends.make_automaton()
 
     def __call__(self, piece: bytes) -> list[int]:
         v = self.vocabulary
         whole = v.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(piece) > LONG:
-            return PrefixEncoder(v, piece).tokens()
-        if len(self.last) >= KEEP:
-            self.last.clear()
-        last = self.last
-        for end in range(1, len(piece) + 1):
-            head = piece[:end]
-            if head not in last:
-                last[head] = v.last_token(piece, end, lambda i: last[piece[:i]])
-        out, end = [], len(piece)
-        while end:
-            out.append(last[piece[:end]])
-            end -= len(v.bytes_of[out[-1]])
+        known, beside, span = v.known.get, v.beside, len(v.bytes_of)
+        last: list[int] = [-1] * len(piece)
+        for at, (size, token) in self.ends.iter(piece.decode("latin-1")):
+            if last[at] >= 0:
+                continue
+            before = at - size
+            if before < 0:
+                last[at] = token
+            else:
+                left = last[before]
+                fits = known(left * span + token)
+                if fits or fits is None and beside(left, token):
+                    last[at] = token
+        out, at = [], len(piece) - 1
+        while at >= 0:
+            token = last[at]
+            out.append(token)
+            at -= len(v.bytes_of[token])
         return out[::-1]
 
 
