@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from acreage.llm import bpe, pii, quality, simhash
+from acreage.llm import bpe, packing, pii, quality, simhash
 from acreage.llm.common import read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A place in a sequence for every piece of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path
+    return packing.pack_documents(docs, path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
