@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acreage.llm import bpe, packing, pii, quality, simhash
+from acreage.llm import bpe, lines, packing, pii, quality, simhash
 from acreage.llm.common import read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,19 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path
     return packing.pack_documents(docs, path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+# Exact distinct counts of sites, in one statement; {docs} gives doc_id, text and source.
+LINES_SQL = """l AS (SELECT rid, doc_id, source, i, t[i] AS line, regexp_replace(t[i], '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g') AS k
+      FROM (SELECT rid, doc_id, source, t, unnest(range(1, len(t) + 1)) AS i FROM (SELECT row_number() OVER () AS rid, doc_id, source, string_split(coalesce(text, ''), chr(10)) AS t FROM {docs}))),
+b AS (SELECT k, min((doc_id, i)) AS first FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= {sites}),
+m AS (SELECT l.*, b.k IS NOT NULL AND (doc_id, i) <> first AS gone FROM l LEFT JOIN b USING (k)),
+kept AS (SELECT rid, doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS text, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed
+         FROM m GROUP BY rid, doc_id)"""
+
+
+@query("op2_line_dedup", "WITH " + LINES_SQL.format(docs="documents", sites=lines.MIN_SITES) + " SELECT doc_id, n_lines, n_removed, sha256(text) AS text_sha256 FROM kept")
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that many sites share."""
+    d = lines.without_boilerplate(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return d.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
