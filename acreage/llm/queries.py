@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acreage.llm import bpe, lines, packing, pii, quality, simhash
+from acreage.llm import bpe, lines, packing, pii, quality, simhash, warc
 from acreage.llm.common import read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,23 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that many sites share."""
     d = lines.without_boilerplate(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return d.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_BASE32 = " || ".join(f"substr('{_ALPHABET}', 1 + CAST((CAST('0x' || substr(sha, {5 * g + 1}, 5) AS BIGINT) >> {s}) & 31 AS BIGINT), 1)" for g in range(8) for s in (15, 10, 5, 0))
+
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS sha FROM p),
+f AS (SELECT *, max(page_id) OVER (PARTITION BY sha, n) AS first FROM h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f"""
+
+
+@query("op5_warc", WARC_SQL)
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives, normalised, and read back."""
+    archives, folder = warc.archive(spark, read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    d = warc.read_archives(archives, folder)
+    return d.select(F.col("page_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
