@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acreage.llm import bpe, lines, packing, pii, quality, simhash, warc
+from acreage.llm import bpe, lines, packing, pii, quality, simhash, topk, warc
 from acreage.llm.common import read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,17 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives, folder = warc.archive(spark, read(spark, sf_dir, "pages").select("page_id", "url", "html"))
     d = warc.read_archives(archives, folder)
     return d.select(F.col("page_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
+TOP_SQL = """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.rid, q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.v, d.v) AS BIGINT) AS score FROM v q JOIN v d ON q.rid <> d.rid WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+@query("op8_top_k", TOP_SQL)
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows for each query row."""
+    return topk.top_k(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
