@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acreage.llm import bpe, lines, packing, pii, quality, simhash, topk, warc
+from acreage.llm import bpe, html, lines, packing, pii, quality, simhash, topk, warc
 from acreage.llm.common import read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,9 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best rows for each query row."""
     return topk.top_k(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op7_html_text")
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
