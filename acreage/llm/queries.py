@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acreage.llm import bpe, html, lines, packing, pii, quality, simhash, topk, warc
+from acreage.llm import bpe, html, lines, packing, pii, pitman_yor, quality, simhash, topk, warc
 from acreage.llm.common import read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,9 @@ def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query("op9_lm_score")
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the model of those that are not held out."""
+    return pitman_yor.score_corpus(read(spark, sf_dir, "documents").select("doc_id", "text"))
