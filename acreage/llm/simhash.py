@@ -259,3 +259,66 @@ def duplicates(prints: DataFrame, key: str = "doc_id", radius: int = 4) -> DataF
 
 def hexadecimal(fingerprint: str = "fingerprint") -> Column:
     return F.lpad(F.lower(F.hex(fingerprint)), 16, "0")
+
+
+# --- near copies by similarity of shingles ---------------------------------------------------------------------------
+
+#: Fingerprints of this many times 64 bits estimate similarity closely enough to decide; buckets come from min-hash bands.
+WIDTH, BANDS, BAND = 4, 16, 3
+_TURNS = (np.arange(1, BANDS * BAND + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+def radius_of(similarity: float, bits: int) -> int:
+    """Bits in which two texts of that shingle similarity differ on average: shared shingles give the cosine, it the angle."""
+    return int(bits * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def bands(hashes: np.ndarray) -> list[int]:
+    """One value per band of min-hashes; texts of similarity s share a band with probability s cubed. No shingles: all zero."""
+    if not len(hashes):
+        return [0] * BANDS
+    least = np.full(len(_TURNS), np.iinfo(np.uint64).max)
+    with np.errstate(over="ignore"):
+        for i in range(0, len(hashes), 4096):
+            least = np.minimum(least, (hashes[None, i : i + 4096] * _TURNS[:, None]).min(axis=1))
+    return [xxhash.xxh64_intdigest(b.tobytes(), i) - (1 << 63) for i, b in enumerate(least.reshape(BANDS, BAND))]
+
+
+def _profiles(docs: DataFrame, row: Column, key: str, text: str, shingle: int) -> DataFrame:
+    """Per row: its name, key, node (hash of the words, so that copies are one node), wide fingerprint and bands."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j in slices(b, "t", TEXT_BYTES):
+                part, made = b.slice(i, j - i), []
+                for t in part.column("t").to_pylist():
+                    words = _words(t)
+                    h = shingle_hashes(words, shingle)
+                    bits = np.concatenate([fold(mixed(h, k)) for k in range(WIDTH)])
+                    made.append((xxhash.xxh64_intdigest(b" ".join(words)) - (1 << 63), np.packbits(bits).tobytes(), bands(h)))
+                columns = [pa.array(c, t) for c, t in zip(zip(*made), (pa.int64(), pa.binary(), pa.list_(pa.int64())))]
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("k"), *columns], names=["row", "k", "node", "bits", "bands"])
+
+    own = docs.select(row.alias("row"), F.col(key).alias("k"), whole_text(text).cast("binary").alias("t"))
+    return own.mapInArrow(run, f"row bigint, k {kind}, node bigint, bits binary, bands array<bigint>")
+
+
+def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` with one row of each group of near copies: the one of smallest key, null keys last; repeated rows are copies.
+
+    Texts are linked if they share a band of min-hashes and their wide fingerprints differ in no more bits than texts of
+    ``similarity`` over runs of ``shingle`` words do on average; groups are what links connect. Texts without words are copies
+    of each other. Only names, fingerprints and bands are shuffled to find the groups; texts move once, to meet the names
+    of those that stay.
+    """
+    row = F.xxhash64(F.col(key), whole_text(text))
+    made = stored(_profiles(docs, row, key, text, shingle), "profiles")
+    nodes = made.groupBy("node").agg(F.first("bits").alias("bits"), F.first("bands").alias("bands"))
+    spread = nodes.select("node", "bits", F.posexplode("bands").alias("_i", "_b"))
+    spread = spread.select(F.xxhash64("_i", "_b").alias("bucket"), "node", "bits")
+    roots = components(linked(spread, radius_of(similarity, 64 * WIDTH)))
+    least = made.groupBy("node").agg(F.min(F.struct(F.col("k").isNull().alias("none"), "k", "row")).alias("least"))
+    stays = least.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("least").alias("least"))
+    stays = stored(stays.select(F.col("least.row").alias("_row")), "survivors")
+    return docs.withColumn("_row", row).join(stays, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
