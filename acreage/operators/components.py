@@ -249,19 +249,20 @@ def merge_small_exact(labels: DataFrame, max_area: int, keys: Sequence[str] = KE
     return j.select(*keys, "row_", "col_", F.coalesce("now", "label").cast("int").alias("label"))
 
 
-def clean_labels(labels: DataFrame, fill_area: int, merge_area: int, min_area: int, mode: str = "auto", valid: str | None = None,
-                 max_exact_labels: int = 512, keys: Sequence[str] = KEYS, block: int = BLOCK) -> DataFrame:
-    """Mask, fill holes, merge small regions, drop tiny ones, mask again and renumber."""
+def clean_labels(labels: DataFrame, fill_area: int, merge_area: int, min_area: int, mode: str = "exact", valid: str | None = None,
+                 keys: Sequence[str] = KEYS, block: int = BLOCK) -> DataFrame:
+    """Mask, fill holes, merge small regions, drop tiny ones, mask again and renumber.
+
+    ``fast`` takes other holes and neighbours than ``exact`` and is used only when asked for, so that the labels of a raster
+    never depend on its size or on the other rasters.
+    """
     keys = list(keys)
-    mode = mode if mode in ("auto", "exact", "fast") else "auto"
+    if mode not in ("exact", "fast"):
+        raise ValueError("mode must be exact or fast")
     cut = lambda df: df if valid is None else df.withColumn("label", F.when(F.col(valid) == 0, 0).otherwise(F.col("label")))
     base = materialize(cut(labels).select(*keys, "row_", "col_", "label", *([valid] if valid else [])))
     lab = base.select(*keys, "row_", "col_", "label")
-    hole_mode = mode
-    if mode == "auto":
-        busiest = label_sizes(lab, keys).groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        hole_mode = "exact" if busiest <= max_exact_labels else "fast"
-    lab = fill_holes_fast(lab, fill_area, keys, block) if hole_mode == "fast" else fill_holes_exact(lab, fill_area, keys, block)
+    lab = fill_holes_fast(lab, fill_area, keys, block) if mode == "fast" else fill_holes_exact(lab, fill_area, keys, block)
     if merge_area > 0:
         lab = merge_small_fast(lab, merge_area, keys) if mode == "fast" else merge_small_exact(lab, merge_area, keys, block)
     if min_area > 0:

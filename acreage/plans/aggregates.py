@@ -90,17 +90,19 @@ def valid_ratio(spark, sf):
 
 
 @query("valid_ratio_sampled", f"""
-WITH w AS (SELECT n_nationkey AS win, CAST(floor({draw_sql('n_nationkey', '1', 123)} * (250 - 16 + 1)) AS INT) AS x, CAST(floor({draw_sql('n_nationkey', '2', 123)} * (60 - 16 + 1)) AS INT) AS y FROM nation)
+WITH w AS (SELECT n_nationkey AS win, CAST(floor({draw_sql('n_nationkey', '1', 123)} * (250 - 16 + 1)) AS INT) AS x, CAST(floor({draw_sql('n_nationkey', '2', 123)} * ((SELECT max(row_) + 1 FROM scene_px) - 16 + 1)) AS INT) AS y FROM nation)
 SELECT CAST(sum(valid) AS BIGINT) AS valid_px, count(*) AS total_px, round(CAST(sum(valid) AS DOUBLE) / count(*), 6) AS valid_ratio
 FROM w JOIN scene_px s ON s.col_ >= w.x AND s.col_ < w.x + 16 AND s.row_ >= w.y AND s.row_ < w.y + 16""")
 def valid_ratio_sampled(spark, sf):
     """Valid share over randomly placed 16 px windows (one per row of ``nation``)."""
     from acreage.operators.spatial import pixels_in_windows
     k = c("n_nationkey")
+    px = fixture(spark, sf, "scene_px").select("raster_id", "row_", "col_", "valid")
     w = table(spark, sf, "nation").select(
-        F.lit(0).alias("raster_id"), k.alias("win"), S.draw_int(k, 1, 123, 0, 250 - 16).alias("x"),
-        S.draw_int(k, 2, 123, 0, 60 - 16).alias("y"), F.lit(16).alias("w"), F.lit(16).alias("h"))
-    hit = pixels_in_windows(fixture(spark, sf, "scene_px").select("raster_id", "row_", "col_", "valid"), w, cell=64)
+        F.lit(0).alias("raster_id"), k.alias("win"), S.draw_int(k, 1, 123, 0, 250 - 16).alias("x"), S.draw(k, 2, 123).alias("_u"), F.lit(16).alias("w"), F.lit(16).alias("h"))
+    heights = px.groupBy("raster_id").agg((F.max("row_") + 1).alias("_height"))
+    w = join_checked(w, heights, ["raster_id"], "inner").withColumn("y", F.floor(c("_u") * (c("_height") - 16 + 1)).cast("int")).drop("_u", "_height")
+    hit = pixels_in_windows(px, w, cell=64)
     return hit.agg(F.sum(c("valid").cast("bigint")).alias("valid_px"), F.count("*").alias("total_px"),
                    F.round(F.avg(c("valid").cast("double")), 6).alias("valid_ratio"))
 

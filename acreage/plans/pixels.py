@@ -26,9 +26,9 @@ def valid_mask_control(spark, sf):
 
 @query("valid_mask_allbands", """
 SELECT row_, col_, CASE WHEN b1 = 2 AND b2 = 2 AND b3 = 2 AND b4 = 2 THEN 0 WHEN b1 = 65536 AND b2 = 65536
-  AND b3 = 65536 AND b4 = 65536 THEN 0 ELSE 1 END AS valid_out FROM scene_px WHERE b4 <> 2 OR b3 = 65536 OR b1 > 0""")
+  AND b3 = 65536 AND b4 = 65536 THEN 0 ELSE 1 END AS valid_out FROM scene_px""")
 def valid_mask_allbands(spark, sf):
-    px = fixture(spark, sf, "scene_px").filter((c("b4") != 2) | (c("b3") == ND) | (c("b1") > 0))
+    px = fixture(spark, sf, "scene_px")
     both = F.least(M.valid_all_bands(bands(), 2.0), M.valid_all_bands(bands(), ND))
     return px.select("row_", "col_", both.alias("valid_out"))
 
@@ -125,12 +125,18 @@ def patch_accept(spark, sf):
                     .alias("reject_reason"))
 
 
+def with_height(px):
+    """Pixels with the height of their raster."""
+    heights = px.groupBy("raster_id").agg((F.max("row_") + 1).alias("height"))
+    return join_checked(px, heights, ["raster_id"], "inner")
+
+
 @query("window_centered", """
-SELECT row_, col_, CASE WHEN col_ - 16 >= 0 AND row_ - 10 >= 0 AND col_ + 16 <= 250 AND row_ + 10 <= 60 THEN col_ - 16 END AS xoff,
- CASE WHEN col_ - 16 >= 0 AND row_ - 10 >= 0 AND col_ + 16 <= 250 AND row_ + 10 <= 60 THEN row_ - 10 END AS yoff FROM scene_px""")
+SELECT row_, col_, CASE WHEN col_ - 16 >= 0 AND row_ - 10 >= 0 AND col_ + 16 <= 250 AND row_ + 10 <= (SELECT max(row_) + 1 FROM scene_px) THEN col_ - 16 END AS xoff,
+ CASE WHEN col_ - 16 >= 0 AND row_ - 10 >= 0 AND col_ + 16 <= 250 AND row_ + 10 <= (SELECT max(row_) + 1 FROM scene_px) THEN row_ - 10 END AS yoff FROM scene_px""")
 def window_centered(spark, sf):
-    x, y = M.centered_window(c("row_"), c("col_"), 32, 20, F.lit(250), F.lit(60))
-    return fixture(spark, sf, "scene_px").select("row_", "col_", x.alias("xoff"), y.alias("yoff"))
+    x, y = M.centered_window(c("row_"), c("col_"), 32, 20, F.lit(250), c("height"))
+    return with_height(fixture(spark, sf, "scene_px")).select("row_", "col_", x.alias("xoff"), y.alias("yoff"))
 
 
 def _norm_sql(expr, stats):
@@ -177,11 +183,11 @@ def layer_switch(spark, sf):
 
 
 @query("pad_border_ignore", """
-SELECT row_, col_, CASE WHEN row_ < 7 OR row_ >= 53 OR col_ < 7 OR col_ >= 243 THEN 255 ELSE extent_gt END AS extent_ig,
-  CASE WHEN row_ < 7 OR row_ >= 53 OR col_ < 7 OR col_ >= 243 THEN 2 ELSE boundary_gt END AS bwbl FROM scene_px""")
+SELECT row_, col_, CASE WHEN row_ < 7 OR row_ >= (SELECT max(row_) + 1 FROM scene_px) - 7 OR col_ < 7 OR col_ >= 243 THEN 255 ELSE extent_gt END AS extent_ig,
+  CASE WHEN row_ < 7 OR row_ >= (SELECT max(row_) + 1 FROM scene_px) - 7 OR col_ < 7 OR col_ >= 243 THEN 2 ELSE boundary_gt END AS bwbl FROM scene_px""")
 def pad_border_ignore(spark, sf):
-    args = (c("row_"), c("col_"), F.lit(60), F.lit(250), 7)
-    return fixture(spark, sf, "scene_px").select(
+    args = (c("row_"), c("col_"), c("height"), F.lit(250), 7)
+    return with_height(fixture(spark, sf, "scene_px")).select(
         "row_", "col_", M.pad_border(c("extent_gt"), *args, 255).alias("extent_ig"),
         M.pad_border(c("boundary_gt"), *args, 2).alias("bwbl"))
 
@@ -205,7 +211,7 @@ def mask_domain_check(spark, sf):
 
 
 @query("coregister", """
-WITH e AS (SELECT row_, col_, extent_prob FROM scene_px WHERE row_ % 5 <> 0), b AS (SELECT row_, col_, boundary_prob FROM scene_px WHERE col_ % 7 <> 0),
+WITH e AS (SELECT row_, col_, extent_prob FROM scene_px), b AS (SELECT row_, col_, boundary_prob FROM scene_px),
  v AS (SELECT row_, col_, valid FROM scene_px)
 SELECT e.row_, e.col_, CASE WHEN valid = 0 THEN 0e0 ELSE extent_prob END AS extent_prob,
   CASE WHEN valid = 0 THEN 0e0 ELSE boundary_prob END AS boundary_prob, valid
@@ -213,8 +219,8 @@ FROM e JOIN b ON e.row_ = b.row_ AND e.col_ = b.col_ JOIN v ON e.row_ = v.row_ A
 def coregister(spark, sf):
     px = fixture(spark, sf, "scene_px")
     on = ["raster_id", "row_", "col_"]
-    j = (px.filter("row_ % 5 <> 0").select(*on, "extent_prob")
-         .join(px.filter("col_ % 7 <> 0").select(*on, "boundary_prob"), on)
+    j = (px.select(*on, "extent_prob")
+         .join(px.select(*on, "boundary_prob"), on)
          .join(px.select(*on, "valid"), on))
     return j.select("row_", "col_", M.hard_background(c("extent_prob"), c("valid")).alias("extent_prob"),
                     M.hard_background(c("boundary_prob"), c("valid")).alias("boundary_prob"), "valid")

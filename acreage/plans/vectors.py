@@ -308,11 +308,11 @@ def aoi_clip_mask(spark, sf):
 
 
 @query("clip_to_valid", """
-WITH l AS (SELECT row_, col_, valid, CAST(b4 AS INT) AS label FROM scene_px WHERE b4 <> 65536 OR row_ % 2 = 0), m AS (SELECT min(valid) AS lo, max(valid) AS hi FROM l)
+WITH l AS (SELECT row_, col_, valid, CAST(b4 AS INT) AS label FROM scene_px), m AS (SELECT min(valid) AS lo, max(valid) AS hi FROM l)
 SELECT row_, col_, CASE WHEN lo = 0 AND hi = 1 AND valid = 0 THEN 0 ELSE label END AS label FROM l CROSS JOIN m""")
 def clip_to_valid(spark, sf):
     """Labels outside the valid mask vanish, but only where a raster is partly valid."""
-    px = fixture(spark, sf, "scene_px").filter("b4 <> 65536 OR row_ % 2 = 0").select("raster_id", "row_", "col_", "valid", c("b4").cast("int").alias("label"))
+    px = fixture(spark, sf, "scene_px").select("raster_id", "row_", "col_", "valid", c("b4").cast("int").alias("label"))
     mixed = px.groupBy("raster_id").agg(((F.min("valid") == 0) & (F.max("valid") == 1)).alias("mixed"))
     return join_checked(px, mixed, ["raster_id"], "inner").select("row_", "col_", F.when(c("mixed") & (c("valid") == 0), 0).otherwise(c("label")).alias("label"))
 
@@ -403,12 +403,15 @@ def pixel_area(spark, sf):
 
 
 @query("affine_roundtrip", """
-WITH m AS (SELECT *, CAST(raster_id % 90 AS INT) AS r, CAST(raster_id * 7 % 180 AS INT) AS k FROM raster_meta WHERE b = 0), x AS (SELECT *, c + a * (k + 0.5e0) AS x, f + e * (r + 0.5e0) AS y FROM m)
-SELECT raster_id, x, y, CAST(floor((x - c) / a) AS INT) AS col_, CAST(floor((y - f) / e) AS INT) AS row_ FROM x""")
+WITH m AS (SELECT *, CAST(raster_id % 90 AS INT) AS r, CAST(raster_id * 7 % 180 AS INT) AS k FROM raster_meta), x AS (SELECT *, c + a * (k + 0.5e0) + b * (r + 0.5e0) AS x, f + d * (k + 0.5e0) + e * (r + 0.5e0) AS y FROM m)
+SELECT raster_id, x, y, CAST(floor((e * (x - c) - b * (y - f)) / (a * e - b * d)) AS INT) AS col_, CAST(floor((a * (y - f) - d * (x - c)) / (a * e - b * d)) AS INT) AS row_ FROM x""")
 def affine_roundtrip(spark, sf):
-    m = fixture(spark, sf, META).filter("b = 0").select("*", (c("raster_id") % 90).alias("r"), (c("raster_id") * 7 % 180).alias("k"))
-    m = m.withColumn("x", c("c") + c("a") * (c("k") + 0.5)).withColumn("y", c("f") + c("e") * (c("r") + 0.5))
-    return m.select("raster_id", "x", "y", F.floor((c("x") - c("c")) / c("a")).cast("int").alias("col_"), F.floor((c("y") - c("f")) / c("e")).cast("int").alias("row_"))
+    m = fixture(spark, sf, META).select("*", (c("raster_id") % 90).alias("r"), (c("raster_id") * 7 % 180).alias("k"))
+    k, r = c("k") + 0.5, c("r") + 0.5
+    m = m.withColumn("x", c("c") + c("a") * k + c("b") * r).withColumn("y", c("f") + c("d") * k + c("e") * r)
+    dx, dy, det = c("x") - c("c"), c("y") - c("f"), c("a") * c("e") - c("b") * c("d")
+    col, row = F.floor((c("e") * dx - c("b") * dy) / det), F.floor((c("a") * dy - c("d") * dx) / det)
+    return m.select("raster_id", "x", "y", col.cast("int").alias("col_"), row.cast("int").alias("row_"))
 
 
 def _utm_sql():

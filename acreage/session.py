@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8) -> SparkSession:
@@ -41,13 +41,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is configured (tests)."""
+    """The cluster's shared folder. Only local mode, where driver and executor are one process, may do without a configured one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return spark.sparkContext.getCheckpointDir()
 
@@ -69,19 +71,19 @@ def join_checked(
     small: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
     salts: int = 16,
 ) -> DataFrame:
     """Join a lookup (unique per key) onto a large table.
 
-    The lookup is written once and counted. It is broadcast only when the count is within
-    ``max_rows``; beyond it the large side is salted and the lookup repeated per salt, so one hot key
+    The lookup is written once and measured. It is broadcast only when its rows as text have at most
+    ``max_bytes``; beyond it the large side is salted and the lookup repeated per salt, so one hot key
     never lands in a single task.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError("join_checked keeps the large side: left, inner, left_semi or left_anti")
     small = materialize(small)
-    if small.count() <= max_rows:
+    if (small.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0) <= max_bytes:
         return big.join(F.broadcast(small), list(on), how)
     return salted_join(big, small, on, how, salts)
 

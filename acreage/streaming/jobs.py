@@ -32,7 +32,7 @@ def raster_intake(spark: SparkSession, source: str, schema: str, out: str, check
             try:
                 process(batch).write.mode("overwrite").parquet(f"{out}/results/batch={batch_id}")
             except Exception as ex:
-                status, error = "failed", str(ex)[:500]
+                status, error = "failed", str(ex)
                 state["stop"] = stop_on_error
         names.select("raster_id", F.lit(status).alias("status"), F.lit(error).alias("error")).write.mode("overwrite").parquet(f"{out}/status/batch={batch_id}")
 
