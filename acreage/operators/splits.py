@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from acreage.operators.stencil import stream_groups
-from acreage.session import materialize, number_rows
+from acreage.session import materialize, running_total
 
 SPLITS = ("train", "validation", "test")
 
@@ -35,59 +33,25 @@ def pins(records: DataFrame, existing: DataFrame) -> DataFrame:
     return j.groupBy("gk").agg(F.min_by("split", "ord").alias("pinned"))
 
 
-# Preference among splits on equal deficit and count, first wins (fixed values).
-TIE_ORDER = {"train": 0, "validation": 1, "test": 2}
-
-
-def _fold(sizes, pinned, targets, counts):
-    """Assign groups in order: pinned split, else largest deficit, else smallest split."""
-    out = []
-    order = sorted(SPLITS, key=TIE_ORDER.get)
-    for n, pin in zip(sizes, pinned):
-        if pin in counts:
-            s = pin
-        else:
-            short = {k: targets[k] - counts[k] for k in order}
-            if max(short.values()) > 0:
-                s = min(order, key=lambda k: (-short[k], counts[k], TIE_ORDER[k]))
-            else:
-                s = min(order, key=lambda k: (counts[k], TIE_ORDER[k]))
-        counts[s] += int(n)
-        out.append(s)
-    return out
+def assign(groups: DataFrame, targets: dict[str, int], counts: dict[str, int]) -> DataFrame:
+    """Split of every group (gk, n, pinned, u).
 
+    Pinned groups keep their split. The others, in the order of ``u``, fill what each split still lacks of its target after
+    the existing and pinned patches: first train, then validation, then test. A group goes where its first patch falls in the
+    running total, so groups stay whole, and each split misses its share by less than one group at either end. Where a split
+    already has more than its target, the others share the groups in the ratio of what they lack.
+    """
+    free = materialize(running_total(groups.filter("pinned is null"), ["u", "gk"], "n", "upto"))
+    held = dict.fromkeys(SPLITS, 0) | {r["pinned"]: int(r["n"]) for r in groups.filter("pinned is not null").groupBy("pinned").agg(F.sum("n").alias("n")).collect()}
+    lack = [max(0, targets[s] - int(counts.get(s, 0)) - held[s]) for s in SPLITS]
+    whole, rest = sum(lack), int(free.agg(F.sum("n")).first()[0] or 0)
+    at = (F.col("upto") - F.col("n")) * F.lit(whole)
+    split = F.when(at < lack[0] * rest, SPLITS[0]).when(at < (lack[0] + lack[1]) * rest, SPLITS[1]).otherwise(SPLITS[2])
+    placed = free.select("gk", "n", split.alias("split"))
+    return placed.unionByName(groups.filter("pinned is not null").select("gk", "n", F.col("pinned").alias("split")))
 
-def assign(groups: DataFrame, targets: dict[str, int], counts: dict[str, int], chunk: int = 100_000) -> DataFrame:
-    """Split of every group (gk, n, pinned, u): groups go in order of ``u`` to the split with the largest deficit.
 
-    Each choice depends on the counts so far. The order is cut into chunks of bounded size; a chunk is
-    folded in one task and only the three counters move on to the next.
-    """
-    spark = groups.sparkSession
-    g = materialize(number_rows(groups, ["u", "gk"], "rn").withColumn("_chunk", F.floor((F.col("rn") - 1) / chunk).cast("int")))
-    last = g.agg(F.max("_chunk")).first()[0]
-    now = {s: int(counts.get(s, 0)) for s in SPLITS}
-    if last is None:
-        return spark.createDataFrame([], "gk string, n bigint, rn bigint, pinned string, split string")
-    out = None
-    for i in range(last + 1):
-        start = dict(now)
-
-        def run(cols, start=start):
-            order = np.argsort(cols["rn"], kind="stable")
-            split = _fold(cols["n"][order], cols["pinned"][order], targets, dict(start))
-            return {"_chunk": cols["_chunk"][order], "gk": cols["gk"][order].tolist(), "n": cols["n"][order], "rn": cols["rn"][order],
-                    "pinned": cols["pinned"][order].tolist(), "split": split}
-
-        done = materialize(stream_groups(g.filter(F.col("_chunk") == i), ["_chunk"], ["gk", "n", "rn", "pinned"], run,
-                                         "_chunk int, gk string, n bigint, rn bigint, pinned string, split string").drop("_chunk"))
-        for r in done.groupBy("split").agg(F.sum("n").alias("n")).collect():
-            now[r["split"]] += int(r["n"])
-        out = done if out is None else out.unionByName(done)
-    return out
-
-
-def assign_records(records: DataFrame, existing: DataFrame, ratios: tuple[float, float, float], seed: int, chunk: int = 100_000) -> DataFrame:
+def assign_records(records: DataFrame, existing: DataFrame, ratios: tuple[float, float, float], seed: int) -> DataFrame:
     """Split of every new record (patch_id, gk, ord): groups stay together, pinned groups keep their split."""
     from acreage.functions.scalars import draw
     total = sum(ratios)
@@ -98,5 +62,5 @@ def assign_records(records: DataFrame, existing: DataFrame, ratios: tuple[float,
     n_new = g.agg(F.sum("n")).first()[0] or 0
     after = n_new + sum(n_old.values())
     tr, va = round(after * ratios[0] / total), round(after * ratios[1] / total)
-    done = assign(g, {"train": tr, "validation": va, "test": after - tr - va}, n_old, chunk)
+    done = assign(g, {"train": tr, "validation": va, "test": after - tr - va}, n_old)
     return fresh.join(done.select("gk", "split"), "gk")

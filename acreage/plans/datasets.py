@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from acreage.functions import geometry as G
 from acreage.operators import vectors as V
 from acreage.plans.registry import fixture, query
-from acreage.plans.sampling import records
+from acreage.plans.sampling import RECS, records, split_sql
 from acreage.plans.scans import CHECKS, LAYERS, checked
 from acreage.plans.vectors import AREA, IDS, features
 from acreage.session import join_checked, scratch_path
@@ -69,12 +69,13 @@ def stream_intake(spark, sf):
     return status.join(done, "raster_id", "left")
 
 
-@query("stream_split")
+@query("stream_split", f"""WITH {RECS.format(t='customer')}, first AS (SELECT * FROM recs WHERE ord % 3 <> 0), none AS (SELECT patch_id, 'train' AS split FROM recs WHERE false),
+ {split_sql('first', 'none', '1')}, {split_sql('recs', 'done1', '2')} SELECT * FROM done1 UNION ALL SELECT * FROM done2""")
 def stream_split(spark, sf):
     """Patches arrive in two deliveries; the second keeps the first one's assignments."""
     root = scratch_path(spark, "split-stream")
     recs, _ = records(spark, sf)
     for part in (recs.filter("ord % 3 <> 0"), recs):
-        part.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        part.write.mode("append").parquet(f"{root}/in")
         jobs.split_intake(spark, f"{root}/in", "ord bigint, patch_id string, gk string", f"{root}/assigned", f"{root}/ckpt", (0.7, 0.2, 0.1), 81)
     return spark.read.parquet(f"{root}/assigned").select("patch_id", "gk", "split")

@@ -246,17 +246,19 @@ def split_pinned(spark, sf):
     return SP.pins(*records(spark, sf))
 
 
-SPLIT = f"""
-WITH RECURSIVE {RECS.format(t='customer')}, fr AS (SELECT * FROM recs WHERE patch_id NOT IN (SELECT patch_id FROM old)), pn AS (SELECT gk, split AS pinned FROM (SELECT gk, split, row_number() OVER (PARTITION BY gk ORDER BY ord) AS rn FROM recs JOIN old USING (patch_id)) WHERE rn = 1),
- g AS (SELECT gk, count(*) AS n, min(ord) AS first FROM fr GROUP BY gk), o AS (SELECT g.gk, n, pinned, row_number() OVER (ORDER BY {draw_sql('first', '1', 81)}, g.gk) AS rn FROM g LEFT JOIN pn USING (gk)),
- tt AS (SELECT (SELECT count(*) FROM fr) + (SELECT count(*) FROM old) AS n), tg AS (SELECT CAST(round_even(n * 0.7e0, 0) AS BIGINT) AS a, CAST(round_even(n * 0.2e0, 0) AS BIGINT) AS b, n - CAST(round_even(n * 0.7e0, 0) AS BIGINT) - CAST(round_even(n * 0.2e0, 0) AS BIGINT) AS e FROM tt),
- f(rn, gk, s, ca, cb, ce) AS (SELECT CAST(0 AS BIGINT), '', '', (SELECT count(*) FROM old WHERE split = 'train'), (SELECT count(*) FROM old WHERE split = 'validation'), (SELECT count(*) FROM old WHERE split = 'test')
-  UNION ALL SELECT rn, gk, s, ca + CASE WHEN s = 'train' THEN n ELSE 0 END, cb + CASE WHEN s = 'validation' THEN n ELSE 0 END, ce + CASE WHEN s = 'test' THEN n ELSE 0 END FROM (
-   SELECT o.rn, o.gk, o.n, ca, cb, ce, CASE WHEN pinned IS NOT NULL THEN pinned
-     WHEN greatest(a - ca, b - cb, e - ce) > 0 THEN CASE WHEN (a - ca > b - cb OR (a - ca = b - cb AND ca <= cb)) AND (a - ca > e - ce OR (a - ca = e - ce AND ca <= ce)) THEN 'train' WHEN b - cb > e - ce OR (b - cb = e - ce AND cb <= ce) THEN 'validation' ELSE 'test' END
-     ELSE CASE WHEN ca <= cb AND ca <= ce THEN 'train' WHEN cb <= ce THEN 'validation' ELSE 'test' END END AS s FROM f JOIN o ON o.rn = f.rn + 1 CROSS JOIN tg))"""
-
-
-@query("split_assign", f"{SPLIT} SELECT fr.patch_id, f.s AS split FROM fr JOIN f USING (gk)")
+def split_sql(recs: str, old: str, tag: str) -> str:
+    """CTEs that assign the new patches of ``recs`` given those of ``old``; the result is ``done<tag>`` (patch_id, gk, split)."""
+    have = lambda s: f"(SELECT count(*) FROM {old} WHERE split = '{s}')"
+    lack = lambda s, t: f"greatest(0, {t} - {have(s)} - (SELECT coalesce(sum(n), 0) FROM o{tag} WHERE pinned = '{s}'))"
+    return f"""fr{tag} AS (SELECT * FROM {recs} WHERE patch_id NOT IN (SELECT patch_id FROM {old})), pn{tag} AS (SELECT gk, split AS pinned FROM (SELECT r.gk, q.split, row_number() OVER (PARTITION BY r.gk ORDER BY r.ord) AS rn FROM {recs} r JOIN {old} q USING (patch_id)) WHERE rn = 1),
+ g{tag} AS (SELECT gk, count(*) AS n, min(ord) AS first FROM fr{tag} GROUP BY gk), o{tag} AS (SELECT g{tag}.gk, n, first, pinned FROM g{tag} LEFT JOIN pn{tag} USING (gk)),
+ tt{tag} AS (SELECT (SELECT count(*) FROM fr{tag}) + (SELECT count(*) FROM {old}) AS n), tg{tag} AS (SELECT CAST(round_even(n * 0.7e0, 0) AS BIGINT) AS a, CAST(round_even(n * 0.2e0, 0) AS BIGINT) AS b, n FROM tt{tag}),
+ lk{tag} AS (SELECT {lack('train', 'a')} AS a, {lack('validation', 'b')} AS b, {lack('test', '(n - a - b)')} AS e FROM tg{tag}),
+ up{tag} AS (SELECT gk, sum(n) OVER (ORDER BY {draw_sql('first', '1', 81)}, gk) - n AS before, sum(n) OVER () AS rest FROM o{tag} WHERE pinned IS NULL),
+ s{tag} AS (SELECT gk, CASE WHEN before * (a + b + e) < a * rest THEN 'train' WHEN before * (a + b + e) < (a + b) * rest THEN 'validation' ELSE 'test' END AS split FROM up{tag} CROSS JOIN lk{tag} UNION ALL SELECT gk, pinned FROM o{tag} WHERE pinned IS NOT NULL),
+ done{tag} AS (SELECT patch_id, gk, split FROM fr{tag} JOIN s{tag} USING (gk))"""
+
+
+@query("split_assign", f"WITH {RECS.format(t='customer')}, {split_sql('recs', 'old', '1')} SELECT patch_id, split FROM done1")
 def split_assign(spark, sf):
-    return SP.assign_records(*records(spark, sf), (0.7, 0.2, 0.1), 81, chunk=500).select("patch_id", "split")
+    return SP.assign_records(*records(spark, sf), (0.7, 0.2, 0.1), 81).select("patch_id", "split")

@@ -44,7 +44,7 @@ def raster_intake(spark: SparkSession, source: str, schema: str, out: str, check
 def split_intake(spark: SparkSession, source: str, schema: str, table: str, checkpoint: str, ratios: tuple[float, float, float], seed: int) -> None:
     """Assign only new patches (patch_id, gk, ord) and keep every earlier assignment.
 
-    A group that already has a split keeps it. The assignment table is partitioned by batch number; a retried
+    All files that wait are one batch, so that a delivery is balanced as a whole. A group that already has a split keeps it. The assignment table is partitioned by batch number; a retried
     batch ignores its own earlier output and replaces it.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -57,6 +57,6 @@ def split_intake(spark: SparkSession, source: str, schema: str, table: str, chec
         new = assign_records(records, old.select("patch_id", "split"), ratios, seed)
         new.select("patch_id", "gk", "ord", "split").write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    stream = spark.readStream.schema(schema).parquet(source)
     q = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
