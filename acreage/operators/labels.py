@@ -13,17 +13,24 @@ from acreage.operators.masks import pad_border
 from acreage.operators.spatial import pixels_in_windows
 from acreage.operators.stencil import Tile, block_map
 
-PATCH_LIMIT = 4096
+#: Side of the largest patch unless the caller names another; a patch is one block, and a larger one is an error, never cut.
+PATCH_SIDE = 4096
 
 
-def skeletonize(px: DataFrame, mask: str, keys: Sequence[str], keep: Sequence[str] = (), out: str = "skeleton") -> DataFrame:
-    """One-pixel lines per patch. A patch is one block, so its size is bounded by the patch size."""
+def whole_patch(px: DataFrame, side: int) -> DataFrame:
+    """Pixels of patches that fit in one block of that side; others raise."""
+    outside = F.raise_error(F.concat(F.lit("a patch has a pixel beyond its side: "), F.greatest("row_", "col_").cast("string"))).cast("int")
+    return px.withColumn("row_", F.when((F.col("row_") < side) & (F.col("col_") < side), F.col("row_")).otherwise(outside))
+
+
+def skeletonize(px: DataFrame, mask: str, keys: Sequence[str], keep: Sequence[str] = (), out: str = "skeleton", side: int = PATCH_SIDE) -> DataFrame:
+    """One-pixel lines per patch of at most ``side`` pixels a side."""
     def fn(t: Tile):
         return {out: A.thin(t.present & (t[mask] > 0)).astype(np.int32), **{k: t[k] for k in keep}}
 
     types = dict(px.dtypes)
     ddl = f"{out} int" + "".join(f", {k} {types[k]}" for k in keep)
-    return block_map(px, fn, ddl, 0, keys, list(dict.fromkeys([mask, *keep])), PATCH_LIMIT)
+    return block_map(whole_patch(px, side), fn, ddl, 0, keys, list(dict.fromkeys([mask, *keep])), side)
 
 
 def boundary_label(px: DataFrame, skeleton: str, keys: Sequence[str], radius: int, size: tuple[int, int], pad: int = 0, valid: str | None = None,
@@ -31,7 +38,7 @@ def boundary_label(px: DataFrame, skeleton: str, keys: Sequence[str], radius: in
     """Background, skeleton and buffer: the buffer is set first, the skeleton over it, then border, then invalid pixels."""
     background, line, buffer_ = codes
     cols = list(dict.fromkeys([skeleton, *([valid] if valid else []), *keep]))
-    d = T.dilate(px, skeleton, A.ellipse(radius), "_near", cols, keys, PATCH_LIMIT) if radius > 0 else px.withColumn("_near", F.lit(0))
+    d = T.dilate(whole_patch(px, max(size)), skeleton, A.ellipse(radius), "_near", cols, keys, max(size)) if radius > 0 else px.withColumn("_near", F.lit(0))
     v = F.when(F.col(skeleton) > 0, line).when(F.col("_near") > 0, buffer_).otherwise(background)
     v = pad_border(v, F.col("row_"), F.col("col_"), F.lit(size[0]), F.lit(size[1]), pad, buffer_)
     if valid:
@@ -65,7 +72,7 @@ def window_labels(windows: DataFrame, px: DataFrame, polys: DataFrame, width: in
         zone = A.stencil_max(line.astype(np.uint8), A.ellipse(ignore_radius), 0) if ignore_radius > 0 else np.zeros_like(line)
         return {"extent": ext, "extent_ig": np.where(zone > 0, 255, ext), "boundary_raw": line, "skeleton": A.thin(line > 0), "valid": t["valid"]}
 
-    lab = block_map(cut, draw_boundary, "extent int, extent_ig int, boundary_raw int, skeleton int, valid int", 0, ["win"], ["valid", "extent", "line"], PATCH_LIMIT)
+    lab = block_map(cut, draw_boundary, "extent int, extent_ig int, boundary_raw int, skeleton int, valid int", 0, ["win"], ["valid", "extent", "line"], size)
     ig = pad_border(F.col("extent_ig"), F.col("row_"), F.col("col_"), F.lit(size), F.lit(size), pad, 255)
     lab = lab.withColumn("extent_ig", ig)
     out = boundary_label(lab, "skeleton", ["win"], buffer_radius, (size, size), pad, "valid", ["extent", "extent_ig", "boundary_raw"])

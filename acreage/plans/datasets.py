@@ -64,9 +64,8 @@ def stream_intake(spark, sf):
     for part in (px.filter("raster_id % 2 = 0"), px.filter("raster_id % 2 = 1")):
         part.repartition(4, "raster_id").write.mode("append").parquet(f"{root}/in")
         jobs.raster_intake(spark, f"{root}/in", "raster_id int, row_ int, col_ int, valid int, extent_prob double", f"{root}/out", f"{root}/ckpt", process)
-    done = spark.read.parquet(f"{root}/out/results").groupBy("raster_id").agg(F.sum("px").alias("px"), F.sum("field_px").alias("field_px"))
-    status = spark.read.parquet(f"{root}/out/status").select("raster_id", "status").distinct()
-    return status.join(done, "raster_id", "left")
+    done = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/out/results")
+    return jobs.latest_status(spark, f"{root}/out").select("raster_id", "status").join(done, "raster_id", "left")
 
 
 @query("stream_split", f"""WITH {RECS.format(t='customer')}, first AS (SELECT * FROM recs WHERE ord % 3 <> 0), none AS (SELECT patch_id, 'train' AS split FROM recs WHERE false),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,29 +15,60 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+STATUS = "raster_id int, status string, error string, at timestamp"
+
+
+def latest_status(spark: SparkSession, out: str) -> DataFrame:
+    """Last status of every raster that was ever met."""
+    if not _exists(spark, f"{out}/status"):
+        return spark.createDataFrame([], STATUS)
+    met = spark.read.schema(STATUS).option("recursiveFileLookup", "true").parquet(f"{out}/status")
+    return met.groupBy("raster_id").agg(F.max_by(F.struct("status", "error"), "at").alias("s")).select("raster_id", "s.status", "s.error")
+
+
 def raster_intake(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str, process: Callable[[DataFrame], DataFrame], stop_on_error: bool = False) -> None:
-    """Process rasters that arrived since the last run; the checkpoint remembers what is done.
+    """Process rasters that arrived since the last run, and those whose last status is failed or skipped once more.
 
-    Each micro-batch writes results under its batch number and a status row per raster: ok, failed or, after a
-    failure with ``stop_on_error``, skipped. Rewriting the same batch number replaces it, so a retried batch
-    never counts twice.
+    All files that wait are one batch, so a raster of several files is whole. If a batch fails, it is halved until the rasters
+    that fail stand alone: the others are done, and each raster has a status of its own (ok, failed or, after a failure with
+    ``stop_on_error``, skipped). Results lie under the batch number; a batch that is run again replaces them.
     """
     state = {"stop": False}
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        names = batch.select("raster_id").distinct()
-        status, error = "ok", ""
-        if state["stop"]:
-            status = "skipped"
-        else:
+    def settle(rows: DataFrame, target: str, place: str, depth: int) -> None:
+        status, error = "skipped", ""
+        if not state["stop"]:
             try:
-                process(batch).write.mode("overwrite").parquet(f"{out}/results/batch={batch_id}")
+                process(rows).write.mode("overwrite").parquet(f"{out}/results/{target}/piece={place}")
+                status = "ok"
             except Exception as ex:
                 status, error = "failed", str(ex)
+                if len(rows.select("raster_id").distinct().take(2)) > 1:
+                    for half in (0, 1):
+                        part = rows.filter(F.pmod(F.xxhash64("raster_id", F.lit(depth)), F.lit(2)) == half)
+                        if not part.isEmpty():
+                            settle(part, target, f"{place}{half}", depth + 1)
+                    return
                 state["stop"] = stop_on_error
-        names.select("raster_id", F.lit(status).alias("status"), F.lit(error).alias("error")).write.mode("overwrite").parquet(f"{out}/status/batch={batch_id}")
+        named = rows.select("raster_id").distinct()
+        named.select("raster_id", F.lit(status).alias("status"), F.lit(error).alias("error"), F.current_timestamp().alias("at")).write.mode("overwrite").parquet(f"{out}/status/{target}/piece={place}")
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).parquet(source)
+    def handle(batch: DataFrame, batch_id: int | str) -> None:
+        target = f"batch={batch_id}"
+        _delete(spark, f"{out}/results/{target}")
+        _delete(spark, f"{out}/status/{target}")
+        if not batch.isEmpty():
+            settle(batch, target, "r", 0)
+
+    again = latest_status(spark, out).filter("status <> 'ok'").select("raster_id")
+    if not again.isEmpty():
+        handle(spark.read.schema(schema).parquet(source).join(again, "raster_id", "left_semi"), f"retry-{uuid.uuid4().hex}")
+    stream = spark.readStream.schema(schema).parquet(source)
     q = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
 

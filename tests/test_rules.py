@@ -203,3 +203,38 @@ def test_thinning_keeps_line():
     m[3:6, 1:11] = True
     t = A.thin(m)
     assert 0 < t.sum() <= 10 and t.sum(axis=0).max() == 1
+
+
+def test_a_failed_raster_is_tried_again_and_others_go_on(spark, tmp_path):
+    from acreage.streaming import jobs
+
+    px = spark.createDataFrame([(r, i) for r in range(6) for i in range(3)], "raster_id int, v int")
+    px.write.parquet(str(tmp_path / "in"))
+    broken = {3}
+
+    def process(rows):
+        if rows.filter(F.col("raster_id").isin(list(broken) or [-1])).count():
+            raise ValueError("cannot read raster")
+        return rows.groupBy("raster_id").agg(F.sum("v").alias("total"))
+
+    def run():
+        jobs.raster_intake(spark, str(tmp_path / "in"), "raster_id int, v int", str(tmp_path / "out"), str(tmp_path / "ckpt"), process)
+        status = {r["raster_id"]: (r["status"], r["error"]) for r in jobs.latest_status(spark, str(tmp_path / "out")).collect()}
+        done = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "out/results"))
+        return status, sorted(map(tuple, done.collect()))
+
+    status, done = run()
+    assert status == {r: ("failed", "cannot read raster") if r == 3 else ("ok", "") for r in range(6)}
+    assert done == [(r, 3) for r in range(6) if r != 3]
+    broken.clear()
+    status, done = run()
+    assert set(status.values()) == {("ok", "")} and done == [(r, 3) for r in range(6)]
+
+
+def test_a_patch_beyond_its_side_is_an_error(spark):
+    from acreage.operators.labels import skeletonize
+
+    px = spark.createDataFrame([(1, 0, 0, 1), (1, 5, 0, 1)], "win int, row_ int, col_ int, m int")
+    assert skeletonize(px, "m", ["win"], side=6).count() == 2
+    with pytest.raises(Exception, match="beyond its side"):
+        skeletonize(px, "m", ["win"], side=5).count()
