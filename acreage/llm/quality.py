@@ -146,3 +146,14 @@ def judge(df: DataFrame, text: str = "text", base: Sequence[Rule] = BASE, rules:
         .withColumn("kept", F.size("failed_rules") == 0)
         .drop("_base", "_more")
     )
+
+
+def only_kept(df: DataFrame, text: str = "text", base: Sequence[Rule] = BASE, rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The rows of ``df`` that are kept, with its columns as they are.
+
+    The row id takes part in the condition because Spark moves no filter below it: moved down, the verdict would be written out
+    in terms of the text, each measure as often as it is used, and planning would not end.
+    """
+    judged = judge(df.select(F.struct("*").alias("_own"), F.col(text).alias("_text")), "_text", base, rules)
+    judged = judged.withColumn("_id", F.monotonically_increasing_id())
+    return judged.filter(F.col("kept") & (F.col("_id") >= 0)).select("_own.*")
