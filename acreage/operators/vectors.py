@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from acreage.functions import geometry as G
@@ -117,21 +117,26 @@ def _make_valid(rings) -> list:
     return out
 
 
+_POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+_ARROW = {"double": pa.float64(), G.RINGS: pa.list_(pa.list_(_POINT)), f"array<{G.RINGS}>": pa.list_(pa.list_(pa.list_(_POINT)))}
+
+
 def _per_row(fn, returns: str, *columns: Column) -> Column:
-    """Arrow UDF that calls a geometry helper per row and skips NULLs."""
+    """Arrow UDF that calls a geometry helper per row and skips NULLs; rings of unequal length come as plain lists."""
     ship(SparkSession.active())
 
-    def run(*series: pd.Series) -> pd.Series:
-        return pd.Series([None if any(v is None for v in row) else fn(*row) for row in zip(*series)])
+    def run(*arrays: pa.Array) -> pa.Array:
+        rows = zip(*(a.to_pylist() for a in arrays))
+        return pa.array([None if any(v is None for v in row) else fn(*row) for row in rows], _ARROW[returns])
 
     if len(columns) == 1:
-        def one(a: pd.Series) -> pd.Series:
+        def one(a: pa.Array) -> pa.Array:
             return run(a)
-        return F.pandas_udf(one, returns)(*columns)
+        return F.arrow_udf(one, returns)(*columns)
 
-    def two(a: pd.Series, b: pd.Series) -> pd.Series:
+    def two(a: pa.Array, b: pa.Array) -> pa.Array:
         return run(a, b)
-    return F.pandas_udf(two, returns)(*columns)
+    return F.arrow_udf(two, returns)(*columns)
 
 
 def overlap_area(a: Column, b: Column, a_boxes: Column, b_boxes: Column) -> Column:

@@ -238,3 +238,20 @@ def test_a_patch_beyond_its_side_is_an_error(spark):
     assert skeletonize(px, "m", ["win"], side=6).count() == 2
     with pytest.raises(Exception, match="beyond its side"):
         skeletonize(px, "m", ["win"], side=5).count()
+
+
+def test_trials_are_scored_by_the_whole_flow(spark):
+    r = np.random.default_rng(4)
+    wave = np.sin(np.arange(20) / 2.5)
+    field = np.clip(0.5 + 0.4 * np.outer(wave, wave) + r.normal(0, 0.12, (20, 20)), 0, 1)
+    px = to_px(spark, 1, extent_prob=field, boundary_prob=1 - field, valid=np.ones((20, 20), dtype=np.int32), gt=(field > 0.6).astype(np.int32))
+    base = dict(extent_thr=0.5, boundary_thr=0.7, sigma=0.0, dilate_px=0, use_watershed=False)
+    changes = [{}, {"extent_thr": 0.65}, {"boundary_thr": 0.55}, {"min_px": 6}, {"min_area": 9.0}, {"opening_px": 1}]
+    trials = [(i, P.Params(**{**base, **c})) for i, c in enumerate(changes)]
+    got = {x["trial"]: x for x in P.evaluate_trials(px, trials).collect()}
+    for i, p in trials:
+        polys = P.postprocess(px.drop("gt"), p).collect()
+        assert got[i]["pred_count"] == len(polys) and got[i]["holes_penalty"] == sum(len(x["rings"]) - 1 for x in polys)
+    assert len({(x["pred_count"], x["tp"], x["area_f1"]) for x in got.values()}) >= 4
+    with pytest.raises(TypeError):
+        P.search_params(px, {"no_such": [1, 2]}, 2, 1, 1)
