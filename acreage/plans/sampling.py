@@ -14,11 +14,15 @@ from acreage.plans.vectors import FILL, HEIGHT, IDS, INSIDE, W, polygons, scene_
 from acreage.session import join_checked, materialize, number_rows
 
 c = F.col
-PID = c("feat_index") * 2 + c("part")
+
+
+def pid():
+    """Number of a polygon part. Made when it is called: columns need a session, importing a module must not."""
+    return c("feat_index") * 2 + c("part")
 
 
 def requests(spark, sf):
-    return V.with_bounds(polygons(spark, sf)).withColumn("pid", PID)
+    return V.with_bounds(polygons(spark, sf)).withColumn("pid", pid())
 
 
 def tries_sql(key, seed, src, extra=""):
@@ -39,7 +43,7 @@ WITH {BOUNDARY_AT}, t AS (SELECT *, feat_index * 2 + part AS pid, {draw_sql('fea
 SELECT pid, round(x + (2 * {draw_sql('pid', '3', 31)} - 1) * 1.6e0, 6) AS px, round(y + (2 * {draw_sql('pid', '4', 31)} - 1) * 1.6e0, 6) AS py FROM h""")
 def sample_boundary(spark, sf):
     """Uniform boundary point, jittered by max(1, a tenth of a 16 px patch)."""
-    p = polygons(spark, sf).withColumn("pid", PID)
+    p = polygons(spark, sf).withColumn("pid", pid())
     p = p.select("pid", G.point_at_length(c("rings"), draw(c("pid"), 2, 31) * G.polygon_perimeter(c("rings"))).alias("b"))
     x, y = P.jitter(c("b.x"), c("b.y"), c("pid"), max(1.0, 0.1 * 16), 31)
     return p.select("pid", F.round(x, 6).alias("px"), F.round(y, 6).alias("py"))
