@@ -269,8 +269,11 @@ _TURNS = (np.arange(1, BANDS * BAND + 1, dtype=np.uint64) * np.uint64(0x9E3779B9
 
 
 def radius_of(similarity: float, bits: int) -> int:
-    """Bits in which two texts of that shingle similarity differ on average: shared shingles give the cosine, it the angle."""
-    return int(bits * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    """Bits in which two texts of that shingle similarity differ, and one standard deviation: the share of common shingles is
+    the cosine of an angle, and a bit differs with probability angle / pi. Five in six pairs just at the similarity are in it.
+    """
+    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    return int(bits * p + np.sqrt(bits * p * (1 - p)))
 
 
 def bands(hashes: np.ndarray) -> list[int]:
@@ -308,7 +311,7 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     """``docs`` with one row of each group of near copies: the one of smallest key, null keys last; repeated rows are copies.
 
     Texts are linked if they share a band of min-hashes and their wide fingerprints differ in no more bits than texts of
-    ``similarity`` over runs of ``shingle`` words do on average; groups are what links connect. Texts without words are copies
+    ``similarity`` over runs of ``shingle`` words do, see :func:`radius_of`; groups are what links connect. Texts without words are copies
     of each other. Only names, fingerprints and bands are shuffled to find the groups; texts move once, to meet the names
     of those that stay.
     """
