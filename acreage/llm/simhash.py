@@ -44,15 +44,6 @@ def fold(hashes: np.ndarray) -> np.ndarray:
     return 2 * ones > len(hashes)
 
 
-def mixed(hashes: np.ndarray, k: int) -> np.ndarray:
-    """The k-th further hash of each value: a bijective mix, so that no hash has to be taken from the text again."""
-    with np.errstate(over="ignore"):
-        h = hashes + np.uint64(0x9E3779B97F4A7C15) * np.uint64(k)
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
 def _words(text: bytes | None) -> list[bytes]:
     # Bytes methods know ASCII only: lower() maps A-Z, split() cuts at x20 and x09-x0D.
     return (text or b"").lower().split()
@@ -263,32 +254,48 @@ def hexadecimal(fingerprint: str = "fingerprint") -> Column:
 
 # --- near copies by similarity of shingles ---------------------------------------------------------------------------
 
-#: Fingerprints of this many times 64 bits estimate similarity closely enough to decide; buckets come from min-hash bands.
-WIDTH, BANDS, BAND = 4, 16, 3
-_TURNS = (np.arange(1, BANDS * BAND + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+#: Bits of a sketch, and min-hashes: bands of a few, so that similar texts share a bucket.
+SKETCH, BANDS, BAND = 256, 16, 3
+_TURNS = (np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+#: Candidates of small groups meet in lots of about so many bytes of shingle hashes; larger groups are cut into such pieces,
+#: of no more than ``PIECE`` rows, and each pair of pieces compared.
+LOT_BYTES = 8 << 20
 
 
-def radius_of(similarity: float, bits: int) -> int:
-    """Bits in which two texts of that shingle similarity differ, and one standard deviation: the share of common shingles is
-    the cosine of an angle, and a bit differs with probability angle / pi. Five in six pairs just at the similarity are in it.
+def radius_of(similarity: float, bits: int = SKETCH) -> int:
+    """Bits in which sketches of two texts of that similarity differ, and five standard deviations: a bit is that of another
+    min-hash with probability 1 - similarity, and then differs half the time, however short the texts are.
     """
-    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(bits * p + np.sqrt(bits * p * (1 - p)))
+    p = (1 - similarity) / 2
+    return int(bits * p + 5 * np.sqrt(bits * p * (1 - p)))
+
+
+def shingle_set(text: bytes | None, shingle: int) -> np.ndarray:
+    """The distinct shingle hashes of a text, sorted."""
+    return np.unique(shingle_hashes(_words(text), shingle))
 
 
-def bands(hashes: np.ndarray) -> list[int]:
-    """One value per band of min-hashes; texts of similarity s share a band with probability s cubed. No shingles: all zero."""
-    if not len(hashes):
-        return [0] * BANDS
+def min_hashes(hashes: np.ndarray) -> np.ndarray:
     least = np.full(len(_TURNS), np.iinfo(np.uint64).max)
     with np.errstate(over="ignore"):
-        for i in range(0, len(hashes), 4096):
-            least = np.minimum(least, (hashes[None, i : i + 4096] * _TURNS[:, None]).min(axis=1))
-    return [xxhash.xxh64_intdigest(b.tobytes(), i) - (1 << 63) for i, b in enumerate(least.reshape(BANDS, BAND))]
+        for i in range(0, len(hashes), 1024):
+            least = np.minimum(least, (hashes[None, i : i + 1024] * _TURNS[:, None]).min(axis=1))
+    return least
+
+
+def bands(least: np.ndarray) -> list[int]:
+    """One value per band of min-hashes; texts of similarity s share a band with probability s cubed."""
+    return [xxhash.xxh64_intdigest(b.tobytes(), i) - (1 << 63) for i, b in enumerate(least[: BANDS * BAND].reshape(BANDS, BAND))]
+
+
+def sketch(least: np.ndarray) -> bytes:
+    """One bit of each min-hash."""
+    with np.errstate(over="ignore"):
+        return np.packbits((((least ^ (least >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(63)).astype(np.uint8)).tobytes()
 
 
 def _profiles(docs: DataFrame, row: Column, key: str, text: str, shingle: int) -> DataFrame:
-    """Per row: its name, key, node (hash of the words, so that copies are one node), wide fingerprint and bands."""
+    """Per row: its name, key, node (hash of the words, so that copies are one node), number of shingles, sketch and bands."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,31 +303,123 @@ def _profiles(docs: DataFrame, row: Column, key: str, text: str, shingle: int) -
             for i, j in slices(b, "t", TEXT_BYTES):
                 part, made = b.slice(i, j - i), []
                 for t in part.column("t").to_pylist():
-                    words = _words(t)
-                    h = shingle_hashes(words, shingle)
-                    bits = np.concatenate([fold(mixed(h, k)) for k in range(WIDTH)])
-                    made.append((xxhash.xxh64_intdigest(b" ".join(words)) - (1 << 63), np.packbits(bits).tobytes(), bands(h)))
-                columns = [pa.array(c, t) for c, t in zip(zip(*made), (pa.int64(), pa.binary(), pa.list_(pa.int64())))]
-                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("k"), *columns], names=["row", "k", "node", "bits", "bands"])
+                    h = shingle_set(t, shingle)
+                    least = min_hashes(h)
+                    made.append((xxhash.xxh64_intdigest(b" ".join(_words(t))) - (1 << 63), len(h), sketch(least), bands(least)))
+                columns = [pa.array(c, t) for c, t in zip(zip(*made), (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())))]
+                yield pa.RecordBatch.from_arrays([part.column("row"), part.column("k"), *columns], names=["row", "k", "node", "n", "bits", "bands"])
 
     own = docs.select(row.alias("row"), F.col(key).alias("k"), whole_text(text).cast("binary").alias("t"))
-    return own.mapInArrow(run, f"row bigint, k {kind}, node bigint, bits binary, bands array<bigint>")
+    return own.mapInArrow(run, f"row bigint, k {kind}, node bigint, n bigint, bits binary, bands array<bigint>")
+
+
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether the Jaccard similarity of two sorted sets is ``similarity`` or more."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) < similarity * len(b) * (1 - 1e-9):
+        return False
+    if not len(b):
+        return True
+    common = int(np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a))
+    return common / (len(a) + len(b) - common) >= similarity
+
+
+def exact_links(bits: np.ndarray, sets: list[np.ndarray], similarity: float, split: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect rows just as all their pairs of ``similarity`` within reach of the sketches do, see :func:`link_block`.
+
+    Sets are only compared of rows that are not connected yet, so a group of m near copies takes about m comparisons.
+    """
+    n, groups, sliced = len(bits), Links(len(bits)), planes(bits[split:])
+    for q in range(0, split or n, QUERIES):
+        last = min(split or n, q + QUERIES)
+        who, hit = within(bits[q:last], sliced, radius_of(similarity, bits.shape[1]))
+        if not len(who):
+            continue
+        rows = np.unpackbits(hit.view(np.uint8), axis=1, bitorder="little")[:, : n - split]
+        for w in np.flatnonzero(rows.sum(1, dtype=np.int64) > (0 if split else 1)):
+            i = q + who[w]
+            near = np.flatnonzero(rows[w]) + split
+            for j in near[(near > i) & (groups.label[near] != groups.label[i])]:
+                if groups.label[j] != groups.label[i] and alike(sets[i], sets[j], similarity):
+                    groups.add(i, np.array([j]))
+    return groups.stars()
+
+
+def _exact(similarity: float):
+    """Rows (side, node, bits, hashes) of a lot, or of a pair of pieces, become links (a, b) between nodes."""
+
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        t = t.sort_by("side")
+        node = t["node"].to_numpy()
+        bits = np.unpackbits(np.frombuffer(b"".join(t["bits"].to_pylist()), np.uint8).reshape(len(node), -1), axis=1)
+        sets = [np.frombuffer(h, "<u8") for h in t["hashes"].to_pylist()]
+        split = int(np.sum(t["side"].to_numpy() == 0)) if key[2].as_py() != key[3].as_py() else 0
+        a, b = exact_links(bits, sets, similarity, split) if split < len(node) else ([], [])
+        return pa.table([pa.array(node[a] if len(a) else [], pa.int64()), pa.array(node[b] if len(b) else [], pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def confirmed(docs: DataFrame, members: DataFrame, text: str, shingle: int, similarity: float) -> DataFrame:
+    """Links ``(a, b)`` between nodes of the same root whose sets of shingles are of ``similarity`` or more.
+
+    ``docs`` has its name in ``_row``; ``members``: row, node, root, n (shingles) and bits of each candidate. The links connect
+    what all such pairs would connect, but are fewer than the rows. Small groups meet in lots; a large one is cut by a
+    hash of the node and every pair of its pieces is a task of its own, so that no group has to fit in one task.
+    """
+    size = members.groupBy("root").agg(F.count("*").alias("_rows"), (8 * F.sum("n")).alias("_bytes"))
+    cut = F.ceil(F.greatest(F.col("_rows") / PIECE, F.col("_bytes") / LOT_BYTES))
+    size = stored(size.select("root", "_bytes", cut.cast("int").alias("_k")), "sizes")
+    lots = 1 + int(size.filter("_k <= 1").agg(F.coalesce(F.sum("_bytes"), F.lit(0))).first()[0]) // LOT_BYTES
+    lots = max(lots, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    placed = members.join(size, "root").withColumn("_k", F.greatest("_k", F.lit(1)))
+    placed = placed.withColumn("_big", F.col("_k") > 1)
+    placed = placed.withColumn("lot", F.when(F.col("_big"), F.col("root")).otherwise(F.pmod(F.xxhash64("root"), F.lit(lots))))
+    placed = placed.withColumn("_g", F.pmod(F.xxhash64("node", F.lit(1)), F.col("_k")).cast("int"))
+    placed = placed.select(F.col("row").alias("_row"), "node", "bits", "_big", "lot", "_g", "_k")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j in slices(b, "t", TEXT_BYTES):
+                part = b.slice(i, j - i)
+                made = [shingle_set(t, shingle).astype("<u8").tobytes() for t in part.column("t").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], pa.array(made, pa.binary())], names=[*names, "hashes"])
+
+    names = ["node", "bits", "_big", "lot", "_g", "_k"]
+    texts = docs.select("_row", whole_text(text).cast("binary").alias("t")).join(placed, "_row").drop("_row")
+    sets = texts.select(*names, "t").mapInArrow(run, "node bigint, bits binary, _big boolean, lot bigint, _g int, _k int, hashes binary")
+    sets = sets.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    sets = sets.select(
+        "_big",
+        "lot",
+        F.least("_g", "_o").alias("piece"),
+        F.greatest("_g", "_o").alias("other"),
+        F.when(F.col("_g") <= F.col("_o"), 0).otherwise(1).alias("side"),
+        "node",
+        "bits",
+        "hashes",
+    )
+    return sets.groupBy("_big", "lot", "piece", "other").applyInArrow(_exact(similarity), "a bigint, b bigint")
 
 
 def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row of each group of near copies: the one of smallest key, null keys last; repeated rows are copies.
 
-    Texts are linked if they share a band of min-hashes and their wide fingerprints differ in no more bits than texts of
-    ``similarity`` over runs of ``shingle`` words do, see :func:`radius_of`; groups are what links connect. Texts without words are copies
-    of each other. Only names, fingerprints and bands are shuffled to find the groups; texts move once, to meet the names
-    of those that stay.
+    Texts are linked if the Jaccard similarity of their sets of runs of ``shingle`` words is ``similarity`` or more; groups are
+    what links connect. Candidates share a band of min-hashes and have sketches within :func:`radius_of`; what candidates
+    connect is then compared by the sets themselves. Texts without words are copies of each other. Names, sketches and
+    bands are shuffled to find the candidates; texts move once to be compared, and once to meet the names of those that stay.
     """
     row = F.xxhash64(F.col(key), whole_text(text))
     made = stored(_profiles(docs, row, key, text, shingle), "profiles")
-    nodes = made.groupBy("node").agg(F.first("bits").alias("bits"), F.first("bands").alias("bands"))
+    nodes = made.groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("bands").alias("bands"))
+    nodes = stored(nodes, "nodes")
     spread = nodes.select("node", "bits", F.posexplode("bands").alias("_i", "_b"))
     spread = spread.select(F.xxhash64("_i", "_b").alias("bucket"), "node", "bits")
-    roots = components(linked(spread, radius_of(similarity, 64 * WIDTH)))
+    members = nodes.drop("bands").join(components(linked(spread, radius_of(similarity))), "node")
+    links = confirmed(docs.withColumn("_row", row), stored(members, "members"), text, shingle, similarity)
+    roots = components(stored(links, "links"))
     least = made.groupBy("node").agg(F.min(F.struct(F.col("k").isNull().alias("none"), "k", "row")).alias("least"))
     stays = least.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("least").alias("least"))
     stays = stored(stays.select(F.col("least.row").alias("_row")), "survivors")

@@ -85,3 +85,22 @@ def test_empty_table_and_nulls(spark):
     got = simhash.duplicates(simhash.fingerprints(some)).select("doc_id", "component_id")
     assert sorted(map(tuple, got.collect()), key=repr) == [(5, 5), (5, 5), (9, 9), (None, 5)]
     assert simhash.fingerprints(some.withColumn("k", F.lit(1))).columns == ["doc_id", "fingerprint"]
+
+
+@pytest.mark.parametrize("piece", [4096, 8])
+def test_near_copies_are_decided_at_the_similarity_itself(spark, piece, monkeypatch):
+    monkeypatch.setattr(simhash, "PIECE", piece)
+    rows = []
+    for i in range(80):
+        n = (44, 84, 404)[i % 3]
+        more = (n - 4) // 4  # n - 4 common runs of n - 4 + more: 0.8; one run more is less
+        start = [f"d{i}w{j}" for j in range(n)]
+        rows += [(4 * i, " ".join(start)), (4 * i + 1, " ".join([*start, *(f"e{i}x{j}" for j in range(more))]))]
+        start = [f"f{i}w{j}" for j in range(n)]
+        rows += [(4 * i + 2, " ".join(start)), (4 * i + 3, " ".join([*start, *(f"g{i}x{j}" for j in range(more + 1))]))]
+    # A repeated passage counts once; short texts, and a chain in which only neighbours are near.
+    passage = [f"p{j}" for j in range(30)]
+    rows += [(1000, " ".join(passage)), (1001, " ".join(passage * 1 + ["p0", "p1"])), (1010, "s1 s2 s3 s4 s5 s6 s7 s8"), (1011, "s1 s2 s3 s4 s5 s6 s7 s8 s9")]
+    rows += [(1100 + i, " ".join(f"c{j}" for j in range(2 * i, 2 * i + 60))) for i in range(40)]
+    got = {r[0] for r in simhash.without_near_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {4 * i + k for i in range(80) for k in (0, 2, 3)} | {1000, 1010, 1100}
