@@ -46,6 +46,12 @@ def test_quality_stage(stages):
     assert {r["doc_id"] for r in stages[1][2]} == kept and 0 < len(kept) < len(stages[0][2])
 
 
+def test_quality_stage_keeps_very_long_documents(spark):
+    text = " ".join(f"the w{i}" for i in range(500_001))
+    docs = spark.createDataFrame([(1, text), (2, "too short")], "doc_id bigint, text string")
+    assert [r["doc_id"] for r in corpus_pipeline.quality_rules(spark, docs, SF).select("doc_id").collect()] == [1]
+
+
 def test_line_stage(stages):
     want = plain_lines([(r["doc_id"], r["text"], r["source"]) for r in stages[1][2]], lines.MIN_SITES)
     assert sorted(((r["doc_id"], r["text"]) for r in stages[2][2]), key=repr) == want
