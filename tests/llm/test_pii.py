@@ -57,6 +57,22 @@ def test_checksums_and_context():
     assert high[0].score > low[0].score
 
 
+def test_account_numbers_end_where_they_are_right():
+    found = lambda t: [t[x.start : x.end] for x in pii.find(t) if x.kind == "iban"]
+    de, gb = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    assert found(f"{de} BIC COBADEFFXXX") == [de]
+    assert found(f"{gb} USD 500") == [gb]
+    assert found("DE89370400440532013000 12 May") == ["DE89370400440532013000"]
+    assert found(f"{de} {gb} {de}") == [de, gb, de]
+    # A start that fails does not take the number behind it along, and a number inside a longer word is none.
+    assert found(f"AB12 CD34 {gb}") == [gb] and found(f"GB83 WEST {gb}") == [gb]
+    assert found(f"{gb}X") == [] and found(f"{gb}x") == [] and found(f"X{gb}") == []
+    # A country outside the table: every end is tried.
+    code = next(c for i in range(2, 99) if pii.mod97(c := f"ZZ{i:02d}ABCD1234567890"))
+    assert found(f"{code} AND 12") == [code]
+    assert pii.redact(f"{de} BIC COBADEFFXXX", pii.find(f"{de} BIC COBADEFFXXX")) == "<IBAN> BIC COBADEFFXXX"
+
+
 def test_long_runs_stay_linear():
     for c in ("1", "a", "@", "+", "1.", "+1", "1 ", "a.", "A1"):
         pii.find(c * 100_000)
