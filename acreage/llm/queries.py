@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acreage.llm import bpe, html, lines, packing, pii, pitman_yor, quality, simhash, topk, warc
+from acreage.llm import bpe, html, lexical, lines, packing, pii, pitman_yor, quality, simhash, topk, warc
 from acreage.llm.common import read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,24 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by the model of those that are not held out."""
     return pitman_yor.score_corpus(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+_TERMS = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+LEXICAL_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL),
+n AS (SELECT r, doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+a AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM n),
+i AS (SELECT q, item_id, unnest(w) AS t FROM (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS w FROM benchmark WHERE text IS NOT NULL)),
+p AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM i) GROUP BY r, t),
+g AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, a GROUP BY t, nn),
+s AS (SELECT q, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll)))) AS BIGINT) AS score
+      FROM i JOIN p USING (t) JOIN g USING (t) JOIN n USING (r) CROSS JOIN a GROUP BY q, item_id, r, doc_id),
+o AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id, r) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM o WHERE rank <= 20"""
+
+
+@query("op11_lexical_search", LEXICAL_SQL)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents for each benchmark item."""
+    return lexical.search(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark").select("item_id", "text"))
