@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acreage.llm import bpe, html, lexical, lines, packing, pii, pitman_yor, quality, simhash, topk, warc
+from acreage.llm import bpe, html, lexical, lines, packing, pii, pitman_yor, quality, simhash, tokenfiles, topk, warc, whitening
 from acreage.llm.common import read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +161,17 @@ SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM o WHERE rank <= 20
 def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty best documents for each benchmark item."""
     return lexical.search(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector in its first four whitened components."""
+    return whitening.whiten(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@query("op13_token_files")
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the token files, read back from them."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return tokenfiles.round_trip(docs, lambda: packing.encoder(*paths), packing.vocabulary(paths[0]))
