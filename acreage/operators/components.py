@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from acreage.functions import arrays as A
 from acreage.operators.distance import nearest
+from acreage.operators.settings import any_set, at, column, largest
 from acreage.operators.stencil import BLOCK, Tile, block_map, block_rows
 from acreage.session import join_checked, materialize, number_rows
 
@@ -97,26 +98,28 @@ def connected_components(px: DataFrame, mask: str, keys: Sequence[str] = KEYS, b
     return px.select(*keys, "row_", "col_").join(lab, [*keys, "row_", "col_"], "left").withColumn("label", F.coalesce("label", F.lit(0)))
 
 
-def _size_filter(px: DataFrame, mask: str, limit: int, holes: bool, out: str, keep: Sequence[str], keys: Sequence[str], block: int) -> DataFrame:
-    """Drop components below ``limit``. A component smaller than the halo is wholly visible to the block."""
+def _size_filter(px: DataFrame, mask: str, limit, holes: bool, out: str, keep: Sequence[str], keys: Sequence[str], block: int) -> DataFrame:
+    """Drop components below ``limit``, which may differ by key. A component smaller than the halo is wholly visible to the block."""
+    most = max(0, int(largest(limit)))
+
     def fn(t: Tile):
         fg = t.present & ((t[mask] > 0) != holes)
         lab = A.label4(fg)
-        small = fg & (A.sizes_of(lab) < limit) if limit > 0 else np.zeros_like(fg)
+        small = fg & (A.sizes_of(lab) < at(limit, t.keys))
         now = t.present & (t[mask] > 0)
         return {out: ((now | small) if holes else (now & ~small)).astype(np.int32), **{k: t[k] for k in keep}}
 
     types = dict(px.dtypes)
     ddl = f"{out} int" + "".join(f", {k} {types[k]}" for k in keep)
-    return block_map(px, fn, ddl, max(0, limit), keys, list(dict.fromkeys([mask, *keep])), max(block, 2 * limit))
+    return block_map(px, fn, ddl, most, keys, list(dict.fromkeys([mask, *keep])), max(block, 2 * most))
 
 
 def remove_small_objects(px, mask, min_size, out="kept", keep=(), keys=KEYS, block=BLOCK) -> DataFrame:
-    return _size_filter(px, mask, int(min_size), False, out, keep, keys, block)
+    return _size_filter(px, mask, min_size, False, out, keep, keys, block)
 
 
 def remove_small_holes(px, mask, area, out="filled", keep=(), keys=KEYS, block=BLOCK) -> DataFrame:
-    return _size_filter(px, mask, int(area), True, out, keep, keys, block)
+    return _size_filter(px, mask, area, True, out, keep, keys, block)
 
 
 def label_sizes(labels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -130,13 +133,14 @@ def label_stats(labels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
                                 F.coalesce(F.sum(F.when(pos, F.col("n"))), F.lit(0)).alias("num_pixels_fg"))
 
 
-def fill_holes_exact(labels: DataFrame, max_area: int, keys: Sequence[str] = KEYS, block: int = BLOCK) -> DataFrame:
+def fill_holes_exact(labels: DataFrame, max_area, keys: Sequence[str] = KEYS, block: int = BLOCK) -> DataFrame:
     """Background inside a hole (fewer than ``max_area`` pixels) of one label takes that label, lowest label first."""
-    limit = int(max_area)
-    if limit <= 0:
+    most = int(largest(max_area))
+    if most <= 0:
         return labels
 
     def fn(t: Tile):
+        limit = int(at(max_area, t.keys))
         lab = t["label"]
         out = lab.copy()
         for value, (top, bottom), (left, right) in A.boxes_of(lab):
@@ -147,13 +151,13 @@ def fill_holes_exact(labels: DataFrame, max_area: int, keys: Sequence[str] = KEY
             sub[small & (sub == 0)] = value
         return {"label": out}
 
-    return block_map(labels, fn, "label int", limit, keys, ["label"], max(block, 2 * limit))
+    return block_map(labels, fn, "label int", most, keys, ["label"], max(block, 2 * most))
 
 
-def fill_holes_fast(labels: DataFrame, max_area: int, keys: Sequence[str] = KEYS, block: int = BLOCK) -> DataFrame:
+def fill_holes_fast(labels: DataFrame, max_area, keys: Sequence[str] = KEYS, block: int = BLOCK) -> DataFrame:
     """Small holes of the joint foreground take the nearest label (ties: first in scan order)."""
     keys = list(keys)
-    if max_area <= 0:
+    if not any_set(max_area):
         return labels
     px = labels.select(*keys, "row_", "col_", "label", (F.col("label") > 0).cast("int").alias("fg"))
     filled = remove_small_holes(px, "fg", max_area, "filled", ["label", "fg"], keys, block)
@@ -162,9 +166,9 @@ def fill_holes_fast(labels: DataFrame, max_area: int, keys: Sequence[str] = KEYS
     return near.select(*keys, "row_", "col_", F.when(take, F.col("near_value")).otherwise(F.col("label")).cast("int").alias("label"))
 
 
-def drop_tiny(labels: DataFrame, min_area: int, keys: Sequence[str] = KEYS) -> DataFrame:
+def drop_tiny(labels: DataFrame, min_area, keys: Sequence[str] = KEYS) -> DataFrame:
     keys = list(keys)
-    tiny = label_sizes(labels, keys).filter(F.col("n") < min_area).select(*keys, "label", F.lit(1).alias("_tiny"))
+    tiny = label_sizes(labels, keys).filter(F.col("n") < column(min_area)).select(*keys, "label", F.lit(1).alias("_tiny"))
     j = join_checked(labels, tiny, [*keys, "label"], "left")
     return j.select(*keys, "row_", "col_", F.when(F.col("_tiny") == 1, 0).otherwise(F.col("label")).alias("label"))
 
@@ -177,10 +181,10 @@ def relabel(labels: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return j.select(*keys, "row_", "col_", F.coalesce("new_label", F.lit(0)).cast("int").alias("label"))
 
 
-def merge_small_fast(labels: DataFrame, max_area: int, keys: Sequence[str] = KEYS) -> DataFrame:
+def merge_small_fast(labels: DataFrame, max_area, keys: Sequence[str] = KEYS) -> DataFrame:
     """All regions of at most ``max_area`` pixels take the nearest kept label; 0 where the raster keeps none."""
     keys = list(keys)
-    small = label_sizes(labels, keys).filter(F.col("n") <= max_area).select(*keys, "label", F.lit(1).alias("_small"))
+    small = label_sizes(labels, keys).filter(F.col("n") <= column(max_area)).select(*keys, "label", F.lit(1).alias("_small"))
     j = join_checked(labels, small, [*keys, "label"], "left")
     j = j.select(*keys, "row_", "col_", "label", F.coalesce("_small", F.lit(0)).alias("small"),
                  ((F.col("label") > 0) & F.col("_small").isNull()).cast("int").alias("keep"))
@@ -211,17 +215,17 @@ def region_adjacency(labels: DataFrame, keys: Sequence[str] = KEYS, block: int =
     return contacts(labels, keys, block).groupBy(*keys, F.col("adj").alias("label"), F.col("own").alias("nbr")).agg(F.count("*").alias("n"))
 
 
-def merge_small_exact(labels: DataFrame, max_area: int, keys: Sequence[str] = KEYS, block: int = BLOCK) -> DataFrame:
+def merge_small_exact(labels: DataFrame, max_area, keys: Sequence[str] = KEYS, block: int = BLOCK) -> DataFrame:
     """Regions of at most ``max_area`` pixels join the neighbour with most border pixels, smallest first.
 
     The order (size at the start, label) is kept exactly: a round processes every small region that no
     earlier unprocessed small region touches, and such regions cannot influence each other.
     """
     keys = list(keys)
-    if max_area <= 0:
+    if not any_set(max_area):
         return labels
     labels = materialize(labels)
-    todo = label_sizes(labels, keys).filter(F.col("n") <= max_area).select(*keys, "label", F.struct("n", "label").alias("rank"))
+    todo = label_sizes(labels, keys).filter(F.col("n") <= column(max_area)).select(*keys, "label", F.struct("n", "label").alias("rank"))
     todo = materialize(todo)
     moves = todo.select(*keys, "label", F.col("label").alias("now"))
     touch = contacts(labels, keys, block).join(todo.select(*keys, F.col("label").alias("adj")), [*keys, "adj"])
@@ -249,12 +253,12 @@ def merge_small_exact(labels: DataFrame, max_area: int, keys: Sequence[str] = KE
     return j.select(*keys, "row_", "col_", F.coalesce("now", "label").cast("int").alias("label"))
 
 
-def clean_labels(labels: DataFrame, fill_area: int, merge_area: int, min_area: int, mode: str = "exact", valid: str | None = None,
+def clean_labels(labels: DataFrame, fill_area, merge_area, min_area, mode: str = "exact", valid: str | None = None,
                  keys: Sequence[str] = KEYS, block: int = BLOCK) -> DataFrame:
     """Mask, fill holes, merge small regions, drop tiny ones, mask again and renumber.
 
     ``fast`` takes other holes and neighbours than ``exact`` and is used only when asked for, so that the labels of a raster
-    never depend on its size or on the other rasters.
+    never depend on its size or on the other rasters. The areas may differ by key.
     """
     keys = list(keys)
     if mode not in ("exact", "fast"):
@@ -263,9 +267,9 @@ def clean_labels(labels: DataFrame, fill_area: int, merge_area: int, min_area: i
     base = materialize(cut(labels).select(*keys, "row_", "col_", "label", *([valid] if valid else [])))
     lab = base.select(*keys, "row_", "col_", "label")
     lab = fill_holes_fast(lab, fill_area, keys, block) if mode == "fast" else fill_holes_exact(lab, fill_area, keys, block)
-    if merge_area > 0:
+    if any_set(merge_area):
         lab = merge_small_fast(lab, merge_area, keys) if mode == "fast" else merge_small_exact(lab, merge_area, keys, block)
-    if min_area > 0:
+    if any_set(min_area):
         lab = drop_tiny(lab, min_area, keys)
     if valid is not None:
         lab = lab.join(base.select(*keys, "row_", "col_", valid), [*keys, "row_", "col_"])

@@ -58,6 +58,12 @@ def refine(top: DataFrame, lists: Mapping[str, Sequence], known: DataFrame, span
     return out.distinct().join(known.select(*keys, *names), [*keys, *names], "left_anti")
 
 
+def budget(n_grid: int, max_trials: int | None, max_auto: int, coarse: int, fine: bool) -> int:
+    """Trials of the first phase, by the same rule as :func:`plan`."""
+    first = max(1, min(n_grid, coarse)) if fine else min(n_grid, max_auto if max_trials is None else n_grid)
+    return first if max_trials is None else min(first, max_trials)
+
+
 def plan(n_grid: Column, max_trials: Column, max_auto: int, coarse: int, mode: Column) -> dict[str, Column]:
     """How many trials run, whether the grid is cut and how (prefix, even sample or all)."""
     is_coarse = (mode == "coarse_to_fine") & (n_grid > 1)

@@ -8,7 +8,7 @@ the pixels its block needs. A block holds at most (block + 2 halo)^2 pixels howe
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from acreage.functions import arrays as A
+from acreage.operators.settings import at, largest
 from acreage.session import ship
 
 BLOCK = 256
@@ -30,6 +31,7 @@ class Tile:
     row0: int
     col0: int
     core: np.ndarray
+    keys: dict = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> np.ndarray:
         return self.data[name]
@@ -128,7 +130,7 @@ def block_rows(px: DataFrame, fn: Callable[[Tile], dict[str, np.ndarray]], outpu
             grid = np.zeros(shape, dtype=v.dtype if v.dtype != object else float)
             grid[at] = v
             data[c] = grid
-        res = fn(Tile(data, present, r0, c0, core))
+        res = fn(Tile(data, present, r0, c0, core, {k: columns[k][0] for k in keys}))
         n = len(res[names[0]])
         return {**{k: np.repeat(columns[k][:1], n) for k in keys}, **{m: res[m] for m in names}}
 
@@ -152,6 +154,50 @@ def block_map(px: DataFrame, fn: Callable[[Tile], dict[str, np.ndarray]], output
     return block_rows(px, pixels, f"row_ int, col_ int, {outputs}", halo, keys, inputs, block)
 
 
+def pack_blocks(px: DataFrame, inputs: Sequence[str], keys: Sequence[str] = ("raster_id",), block: int = BLOCK) -> DataFrame:
+    """One row per block with its pixels as flat arrays: keys, br, bc, row0, col0, h, w, ``present`` and ``inputs`` as binary.
+
+    Passes over the same raster then join and read blocks, and pixels are shuffled once only. See :func:`each_block`.
+    """
+
+    def fn(t: Tile) -> dict[str, list]:
+        h, w = t.present.shape
+        at = {"br": t.row0 // block, "bc": t.col0 // block, "row0": t.row0, "col0": t.col0, "h": h, "w": w}
+        return {**{k: np.array([v], np.int32) for k, v in at.items()}, "present": [t.present.tobytes()], **{c: [t[c].tobytes()] for c in inputs}}
+
+    ddl = "br int, bc int, row0 int, col0 int, h int, w int, present binary" + "".join(f", {c} binary" for c in inputs)
+    return block_rows(px, fn, ddl, 0, keys, list(inputs), block)
+
+
+#: Arrays of the Spark types that a packed column may have.
+DTYPES = {"int": np.int32, "bigint": np.int64, "double": np.float64, "float": np.float32, "boolean": np.bool_, "smallint": np.int16, "tinyint": np.int8}
+
+
+def each_block(blocks: DataFrame, kinds: dict[str, str], fn: Callable[[Tile, dict], dict[str, np.ndarray]], outputs: str, keys: Sequence[str] = ("raster_id",)) -> DataFrame:
+    """Call ``fn`` with every packed block and its other columns; it returns equally long arrays. ``kinds`` gives the Spark type of each packed column."""
+    keys = list(keys)
+    types = dict(blocks.dtypes)
+    ddl = ", ".join([*(f"{k} {types[k]}" for k in keys), outputs])
+    schema = to_arrow_schema(T.StructType.fromDDL(ddl))
+    names = [o.strip().split()[0] for o in outputs.split(",")]
+
+    def run(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                row = {c: b.column(c)[i].as_py() for c in b.schema.names}
+                shape = (row["h"], row["w"])
+                read = lambda c, kind: np.frombuffer(row.pop(c), kind).reshape(shape)
+                present = read("present", np.bool_)
+                tile = Tile({c: read(c, DTYPES[k]) for c, k in kinds.items()}, present, row["row0"], row["col0"], present, {k: row[k] for k in keys})
+                made = fn(tile, row)
+                n = len(made[names[0]])
+                columns = [pa.array([row[k]] * n, schema.field(k).type) for k in keys] + [pa.array(made[c], schema.field(c).type) for c in names]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    ship(blocks.sparkSession)
+    return blocks.mapInArrow(run, ddl)
+
+
 def dilate(px: DataFrame, mask: str, offsets, out: str = "dilated", keep: Sequence[str] = (), keys=("raster_id",), block: int = BLOCK) -> DataFrame:
     """Pixels within the element of a set pixel; pixels outside the raster neither set nor clear."""
     return _morph(px, mask, out, keep, keys, block, [("max", offsets)])
@@ -170,6 +216,9 @@ def closing(px: DataFrame, mask: str, offsets, out: str = "closed", keep: Sequen
 
 
 def reach(offsets) -> int:
+    """Farthest offset of an element, which may be a function of the keys with a ``reach`` of its own."""
+    if callable(offsets):
+        return offsets.reach
     return max(max(abs(dy), abs(dx)) for dy, dx in offsets)
 
 
@@ -184,6 +233,7 @@ def _morph(px, mask, out, keep, keys, block, steps):
     def fn(t: Tile):
         m = (t[mask] > 0).astype(np.uint8)
         for kind, offsets in steps:
+            offsets = offsets(t.keys) if callable(offsets) else offsets
             if kind == "max":
                 m = A.stencil_max(np.where(t.present, m, 0), offsets, 0)
             else:
@@ -205,16 +255,18 @@ def gradient(px: DataFrame, mask: str, out: str = "edge", keys=("raster_id",), b
     return block_map(px, fn, f"{out} int", 1, keys, [mask], block)
 
 
-def smooth(px: DataFrame, values: Sequence[str], sigma: float, valid: str | None = None, keys=("raster_id",), block: int = BLOCK) -> DataFrame:
+def smooth(px: DataFrame, values: Sequence[str], sigma, valid: str | None = None, keys=("raster_id",), block: int = BLOCK) -> DataFrame:
     """Separable Gaussian with clamped coordinates at the raster edge, clipped to [0, 1], 0 where invalid.
 
-    The raster must be dense; sigma <= 0 only clips and masks.
+    The raster must be dense; sigma <= 0 only clips and masks. ``sigma`` may differ by key.
     """
     values = list(values)
-    kernel = A.gaussian_kernel(sigma) if sigma > 0 else np.ones(1)
-    r = len(kernel) // 2
+    kernel_of = lambda s: A.gaussian_kernel(s) if s > 0 else np.ones(1)
+    halo = len(kernel_of(largest(sigma))) // 2
 
     def fn(t: Tile):
+        kernel = kernel_of(at(sigma, t.keys))
+        r = len(kernel) // 2
         out = {}
         for v in values:
             a = t[v].astype(np.float64)
@@ -230,7 +282,7 @@ def smooth(px: DataFrame, values: Sequence[str], sigma: float, valid: str | None
         return out
 
     ddl = ", ".join(f"{v} double" for v in values) + ("" if valid is None else f", {valid} int")
-    return block_map(px, fn, ddl, r, keys, values + ([valid] if valid else []), block)
+    return block_map(px, fn, ddl, halo, keys, values + ([valid] if valid else []), block)
 
 
 def sobel(px: DataFrame, value: str, out: str = "sobel", keys=("raster_id",), block: int = BLOCK) -> DataFrame:

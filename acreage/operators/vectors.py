@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from acreage.functions import geometry as G
+from acreage.operators.settings import any_set, column, largest
 from acreage.operators.spatial import box_pairs
 from acreage.session import join_checked, materialize, number_rows, ship
 
@@ -190,13 +191,14 @@ def _simplify(rings, tol: float):
     return out
 
 
-def simplify(polys: DataFrame, ids: Sequence[str], tolerance: float) -> DataFrame:
-    """Douglas-Peucker per ring; a polygon that would become invalid keeps its original rings."""
+def simplify(polys: DataFrame, ids: Sequence[str], tolerance) -> DataFrame:
+    """Douglas-Peucker per ring; a polygon that would become invalid keeps its original rings. The tolerance may differ by key."""
     ids = list(ids)
-    if tolerance <= 0:
+    if not any_set(tolerance):
         return polys
 
-    cut = _per_row(lambda r: _simplify(r, tolerance), G.RINGS, F.col("rings"))
+    tol = column(tolerance).cast("double")
+    cut = F.coalesce(_per_row(_simplify, G.RINGS, F.when(tol > 0, F.col("rings")), tol), F.col("rings"))
     s = polys.withColumn("_orig", F.col("rings")).withColumn("rings", cut)
     bad = invalid_parts(s.drop("_orig"), ids).withColumn("_bad", F.lit(True))
     j = join_checked(s, bad, ids, "left")
@@ -226,14 +228,15 @@ def _chain(points) -> list:
     return out
 
 
-def straighten(polys: DataFrame, step: float) -> DataFrame:
-    """Rotate each polygon about its centroid so that its dominant direction snaps to a multiple of ``step`` degrees."""
-    if step <= 0:
+def straighten(polys: DataFrame, step) -> DataFrame:
+    """Rotate each polygon about its centroid so that its dominant direction snaps to a multiple of ``step`` degrees (none at 0)."""
+    if not any_set(step):
         return polys
+    step = F.nullif(column(step).cast("double"), F.lit(0.0))
     cx, cy = G.centroid(F.col("rings"))
     p = polys.withColumn("_ang", _per_row(lambda r: _dominant_angle(r[0]), "double", F.col("rings"))).withColumn("_cx", cx).withColumn("_cy", cy)
     turn = F.bround(F.col("_ang") / step, 0) * step - F.col("_ang")
-    p = p.withColumn("_t", F.radians(F.when(F.col("_cx").isNull() | (F.abs(turn) < 1e-6), 0.0).otherwise(turn)))
+    p = p.withColumn("_t", F.radians(F.when(F.col("_cx").isNull() | turn.isNull() | (F.abs(turn) < 1e-6), 0.0).otherwise(turn)))
     rot = lambda x, y: (F.col("_cx") + (x - F.col("_cx")) * F.cos("_t") - (y - F.col("_cy")) * F.sin("_t"),
                         F.col("_cy") + (x - F.col("_cx")) * F.sin("_t") + (y - F.col("_cy")) * F.cos("_t"))
     p = p.withColumn("rings", F.when(F.col("_t") == 0, F.col("rings")).otherwise(G.map_points(F.col("rings"), rot)))
@@ -279,16 +282,16 @@ def lines(polys: DataFrame, ids: Sequence[str], width: int, height: int | Column
     return e.filter("_f <= _l").select(*ids, "row_", F.explode(F.sequence("_f", "_l")).alias("col_")).distinct()
 
 
-def clean(polys: DataFrame, ids: Sequence[str], min_area: float, remove_holes: bool, simplify_tol: float = 0.0, snap_step: float = 0.0,
+def clean(polys: DataFrame, ids: Sequence[str], min_area, remove_holes, simplify_tol=0.0, snap_step=0.0,
           mode: str = "make_valid") -> DataFrame:
-    """Repair, strip holes, simplify, straighten, drop small areas and number fields 1..n by (ids, top, left)."""
+    """Repair, strip holes, simplify, straighten, drop small areas and number fields 1..n by (ids, top, left). All settings but the mode may differ by key."""
     ids = list(ids)
     p = repair(polys, ids, mode)
-    if remove_holes:
-        p = p.withColumn("rings", G.strip_holes(F.col("rings")))
+    if largest(remove_holes):
+        p = p.withColumn("rings", F.when(column(remove_holes), G.strip_holes(F.col("rings"))).otherwise(F.col("rings")))
     each = [*ids, "piece"]
     p = straighten(simplify(p, each, simplify_tol), snap_step)
-    p = p.withColumn("area_m2", G.polygon_area(F.col("rings"))).filter(F.col("area_m2") >= min_area)
+    p = p.withColumn("area_m2", G.polygon_area(F.col("rings"))).filter(F.col("area_m2") >= column(min_area))
     b = G.bounds(F.col("rings"))
     p = p.withColumn("_y", b["y0"]).withColumn("_x", b["x0"])
     return number_rows(p, [*ids, "_y", "_x", "piece"], "field_id").drop("_y", "_x")

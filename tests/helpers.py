@@ -74,3 +74,31 @@ def clean_serial(lab, fill, merge, least):
     lab = np.where(size < least, 0, lab)
     ids = {v: i + 1 for i, v in enumerate(np.unique(lab[lab > 0]))}
     return np.vectorize(lambda v: ids.get(v, 0))(lab)
+
+
+def forest_serial(e, m, inside, then=None):
+    """Edges one after another, cheapest first; two trees that both have a marker stay apart."""
+    h, w = e.shape
+    then = np.zeros_like(e) if then is None else then
+    edges = []
+    for r in range(h):
+        for k in range(w):
+            for way, (y, x) in enumerate(((r, k + 1), (r + 1, k))):
+                if y < h and x < w and inside[r, k] and inside[y, x]:
+                    p, q = (e[r, k], then[r, k]), (e[y, x], then[y, x])
+                    edges.append((max(p[0], q[0]), min(p[0], q[0]), max(p[1], q[1]), min(p[1], q[1]), r, k, way, (r, k), (y, x)))
+    tree = {(r, k): [(r, k)] for r in range(h) for k in range(w) if inside[r, k]}
+    mark = {p: int(m[p]) for p in tree}
+    of = {p: p for p in tree}
+    for *_, p, q in sorted(edges):
+        a, b = of[p], of[q]
+        if a == b or (mark[a] and mark[b]):
+            continue
+        mark[a] = mark[a] or mark[b]
+        for x in tree.pop(b):
+            tree[a].append(x)
+            of[x] = a
+    out = np.zeros((h, w), int)
+    for p, a in of.items():
+        out[p] = mark[a]
+    return out

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from helpers import clean_serial, flood, merge_serial, to_array, to_px
+from helpers import clean_serial, flood, forest_serial, merge_serial, to_array, to_px
 
 from acreage.functions import arrays as A
 from acreage.operators import components as C, distance as D, outline as O, regions as R, stencil as T
@@ -68,6 +68,36 @@ def test_distance_brute_force(spark):
     assert (to_array(D.distance_to_background(to_px(spark, m=m), "m"), "d2", m.shape) == want).all()
 
 
+def brute_nearest(target, value):
+    at = np.argwhere(target == 1)
+    out = np.empty(target.shape, dtype=object)
+    for r, k in np.ndindex(target.shape):
+        d, y, x = min(((r - y) ** 2 + (k - x) ** 2, y, x) for y, x in at.tolist())
+        out[r, k] = (d, y, x, int(value[y, x]))
+    return out
+
+
+@pytest.mark.parametrize("block", [3, 7, 64])
+@pytest.mark.parametrize("kind", ["dense", "sparse", "one", "diagonal", "border"])
+def test_nearest_across_blocks(spark, block, kind):
+    h, w = 19, 16
+    t = {"dense": RNG.random((h, w)) < 0.3, "sparse": RNG.random((h, w)) < 0.03, "one": np.zeros((h, w)), "diagonal": np.eye(h, w), "border": np.zeros((h, w))}[kind].astype(np.int32)
+    t[(17, 2) if kind != "border" else (0, slice(0, 5))] = 1
+    v = RNG.integers(1, 100, (h, w)).astype(np.int32)
+    px = to_px(spark, t=t, v=v).filter("row_ != 5 OR col_ != 9 OR t = 1")
+    got = D.nearest(px, "t", "v", keep=["v"], block=block).collect()
+    want = brute_nearest(t, v)
+    assert len(got) == px.count()
+    assert all((r.d2, r.near_row, r.near_col, r.near_value) == want[r.row_, r.col_] and r.v == v[r.row_, r.col_] for r in got)
+
+
+def test_row_pass_across_blocks(spark):
+    t = (RNG.random((9, 17)) < 0.15).astype(np.int32)
+    for r in D.row_pass(to_px(spark, t=t, v=t + 1), "t", block=4).collect():
+        hit = np.flatnonzero(t[r.row_]).tolist()
+        assert (r.left_, r.right_, r.v) == (max((x for x in hit if x <= r.col_), default=None), min((x for x in hit if x >= r.col_), default=None), t[r.row_, r.col_] + 1)
+
+
 def test_distance_without_background_is_null(spark):
     assert D.distance_to_background(to_px(spark, m=np.ones((3, 3), dtype=np.int32)), "m").filter("distance IS NOT NULL").count() == 0
 
@@ -93,6 +123,33 @@ def test_region_grow_blocks_agree_and_cover(spark):
         assert flood((small == v).astype(int)).max() == 1
 
 
+@pytest.mark.parametrize("block", [3, 8, 64])
+@pytest.mark.parametrize("kind", ["distinct", "plateaus", "holes"])
+def test_region_grow_is_the_rooted_forest(spark, block, kind):
+    rng = np.random.default_rng(11)
+    h, w = 17, 21
+    e = rng.random((h, w)) if kind == "distinct" else np.round(rng.random((h, w)) * 3)
+    then = np.round(rng.random((h, w)) * 5) if kind == "plateaus" else np.zeros((h, w))
+    inside = (rng.random((h, w)) < (0.75 if kind == "holes" else 0.97)).astype(np.int32)
+    m = np.where(rng.random((h, w)) < 0.04, rng.integers(1, 9, (h, w)), 0).astype(np.int32) * inside
+    px = to_px(spark, e=e, m=m, inside=inside, then=then)
+    got = to_array(R.region_grow(px, "e", "m", "inside", line=False, block=block, then="then"), "label", e.shape)
+    assert (got == forest_serial(e, m, inside, then)).all()
+
+
+def test_region_grow_rounds_are_logarithmic(spark, monkeypatch):
+    """One marker at the end of a strip that rises away from it and runs through 48 blocks."""
+    e = np.arange(96, dtype=float)[None, :]
+    m = np.zeros((1, 96), dtype=np.int32)
+    m[0, 0] = 7
+    rounds = []
+    monkeypatch.setattr(R, "_minimum_pairs", lambda *a, f=R._minimum_pairs: (rounds.append(1), f(*a))[1])
+    for energy in (e, -e):
+        rounds.clear()
+        got = to_array(R.region_grow(to_px(spark, e=energy, m=m, inside=np.ones((1, 96), dtype=np.int32)), "e", "m", "inside", line=False, block=2), "label", e.shape)
+        assert (got == 7).all() and len(rounds) <= 7
+
+
 def test_polygon_area_is_pixel_count(spark):
     from pyspark.sql import functions as F
 
