@@ -181,18 +181,31 @@ def each_block(blocks: DataFrame, kinds: dict[str, str], fn: Callable[[Tile, dic
     schema = to_arrow_schema(T.StructType.fromDDL(ddl))
     names = [o.strip().split()[0] for o in outputs.split(",")]
 
+    def join(parts: list[list]) -> pa.RecordBatch:
+        lists = [isinstance(v, list) for v in parts[0]]
+        whole = [[x for q in parts for x in q[i]] if lists[i] else np.concatenate([q[i] for q in parts]) for i in range(len(lists))]
+        return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(whole, schema)], schema=schema)
+
     def run(batches):
+        parts, size = [], 0
         for b in batches:
+            flat = {c: b.column(c).to_pylist() for c in b.schema.names if not pa.types.is_binary(b.schema.field(c).type)}
+            packed = {c: b.column(c) for c in ("present", *kinds)}
             for i in range(b.num_rows):
-                row = {c: b.column(c)[i].as_py() for c in b.schema.names}
+                row = {c: v[i] for c, v in flat.items()}
                 shape = (row["h"], row["w"])
-                read = lambda c, kind: np.frombuffer(row.pop(c), kind).reshape(shape)
+                read = lambda c, kind: np.frombuffer(packed[c][i].as_buffer(), kind).reshape(shape)
                 present = read("present", np.bool_)
                 tile = Tile({c: read(c, DTYPES[k]) for c, k in kinds.items()}, present, row["row0"], row["col0"], present, {k: row[k] for k in keys})
                 made = fn(tile, row)
                 n = len(made[names[0]])
-                columns = [pa.array([row[k]] * n, schema.field(k).type) for k in keys] + [pa.array(made[c], schema.field(c).type) for c in names]
-                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                parts.append([*([row[k]] * n for k in keys), *(made[c] for c in names)])
+                size += sum(np.size(v) if not isinstance(v, list) else sum(map(np.size, v)) for v in parts[-1][len(keys):])
+                if size >= 1 << 20:
+                    yield join(parts)
+                    parts, size = [], 0
+        if parts:
+            yield join(parts)
 
     ship(blocks.sparkSession)
     return blocks.mapInArrow(run, ddl)

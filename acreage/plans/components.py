@@ -92,20 +92,30 @@ SELECT chip, row_, col_, max(CASE WHEN fg = 0 THEN col_ END) OVER (PARTITION BY
  min(CASE WHEN fg = 0 THEN col_ END) OVER (PARTITION BY chip, row_ ORDER BY col_ ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS right_ FROM chip_px""")
 def edt_row_pass(spark, sf):
     px = chips(spark, sf).withColumn("bg", (c("fg") == 0).cast("int"))
-    return D.row_pass(px, "bg", CHIP).select("chip", "row_", "col_", "left_", "right_")
+    return D.row_pass(px, "bg", CHIP, block=3).select("chip", "row_", "col_", "left_", "right_")
 
 
 NEAREST = """SELECT p.chip, p.row_, p.col_, min({{'d': (q.row_ - p.row_) * (q.row_ - p.row_) + (q.col_ - p.col_) * (q.col_ - p.col_), 'r': q.row_, 'k': q.col_, 'v': {value}}}) AS b
  FROM {src} p JOIN {src} q ON q.chip = p.chip WHERE {target} GROUP BY p.chip, p.row_, p.col_"""
 
 
-@query("edt", f"""
-WITH n AS ({NEAREST.format(src='chip_px', value='0', target='q.fg = 0')}) SELECT p.chip, p.row_, p.col_, CAST(b.d AS BIGINT) AS d2, b.r AS near_row, b.k AS near_col FROM chip_px p LEFT JOIN n USING (chip, row_, col_)""")
+EDT_SQL = f"""
+WITH n AS ({NEAREST.format(src='chip_px', value='0', target='q.fg = 0')}) SELECT p.chip, p.row_, p.col_, CAST(b.d AS BIGINT) AS d2, b.r AS near_row, b.k AS near_col FROM chip_px p LEFT JOIN n USING (chip, row_, col_)"""
+
+
+@query("edt", EDT_SQL)
 def edt(spark, sf):
     px = chips(spark, sf).withColumn("bg", (c("fg") == 0).cast("int"))
     return D.nearest(px, "bg", None, CHIP).select("chip", "row_", "col_", "d2", "near_row", "near_col")
 
 
+@query("edt_blocks", EDT_SQL)
+def edt_blocks(spark, sf):
+    """The same in blocks that are smaller than a chip, so that distances cross their borders."""
+    px = chips(spark, sf).withColumn("bg", (c("fg") == 0).cast("int"))
+    return D.nearest(px, "bg", None, CHIP, block=3).select("chip", "row_", "col_", "d2", "near_row", "near_col")
+
+
 @query("nearest_label", f"""
 WITH l AS (SELECT chip, row_, col_, CASE WHEN v > 0.1 THEN row_ * 8 + col_ + 1 ELSE 0 END AS label FROM chip_px), n AS ({NEAREST.format(src='l', value='q.label', target='q.label > 0')})
 SELECT l.chip, l.row_, l.col_, CASE WHEN l.label > 0 THEN l.label ELSE coalesce(b.v, 0) END AS label FROM l LEFT JOIN n USING (chip, row_, col_)""")
@@ -132,9 +142,13 @@ def local_maxima(spark, sf):
     return D.local_maxima(chips(spark, sf), "v", 2, "fg", CHIP)
 
 
-@query("h_maxima")
+# A pixel is a maximum of that height if no higher one can be reached without going down by the height.
+@query("h_maxima", """
+WITH RECURSIVE up(chip, r, k, v, qr, qk, qv) AS (SELECT chip, row_, col_, v, row_, col_, v FROM chip_px
+ UNION SELECT p.chip, p.r, p.k, p.v, q.row_, q.col_, q.v FROM up p JOIN chip_px q ON q.chip = p.chip AND abs(q.row_ - p.qr) <= 1 AND abs(q.col_ - p.qk) <= 1 WHERE q.v > p.v - 0.1e0)
+SELECT chip, r AS row_, k AS col_, CASE WHEN max(qv) > v THEN 0 ELSE 1 END AS is_max FROM up GROUP BY chip, r, k, v""")
 def h_maxima(spark, sf):
-    return D.h_maxima(chips(spark, sf), "v", 0.1, CHIP)
+    return D.h_maxima(chips(spark, sf), "v", 0.1, CHIP, block=4)
 
 
 @query("fill_holes_fast", f"""
@@ -202,14 +216,57 @@ def clean_labels(spark, sf):
     return C.clean_labels(px, 3, 3, 4, "exact", "ok", keys=CHIP)
 
 
-@query("markers")
+def marker_sql(src: str) -> str:
+    """Seeds of ``src`` (chip, row_, col_, m, b), without erosion and with windows of one pixel, as (chip, row_, col_, marker)."""
+    return f"""co0 AS (SELECT chip, row_, col_, m, CASE WHEN m = 1 AND b = 0 THEN 1 ELSE 0 END AS c FROM {src}), co AS (SELECT chip, row_, col_, CASE WHEN max(c) OVER (PARTITION BY chip) = 1 THEN c ELSE m END AS c FROM co0),
+ di AS (SELECT p.chip, p.row_, p.col_, p.c, CASE WHEN count(q.chip) = 0 THEN 0e0 ELSE sqrt(CAST(min((q.row_ - p.row_) * (q.row_ - p.row_) + (q.col_ - p.col_) * (q.col_ - p.col_)) AS DOUBLE)) END AS d FROM co p LEFT JOIN co q ON q.chip = p.chip AND q.c = 0 GROUP BY p.chip, p.row_, p.col_, p.c),
+ lo AS (SELECT chip, min(d) AS low FROM di GROUP BY chip),
+ pk AS (SELECT p.chip, p.row_, p.col_ FROM di p JOIN lo USING (chip) JOIN di q ON q.chip = p.chip AND abs(q.row_ - p.row_) <= 1 AND abs(q.col_ - p.col_) <= 1 AND q.c = 1 WHERE p.c = 1 AND p.d > low GROUP BY p.chip, p.row_, p.col_, p.d HAVING p.d >= max(q.d)),
+ sd AS (SELECT chip, row_, col_ FROM pk UNION ALL SELECT chip, row_, col_ FROM co WHERE c = 1 AND chip NOT IN (SELECT chip FROM pk)),
+ rs(chip, r, k, sr, sk) AS (SELECT chip, row_, col_, row_, col_ FROM sd UNION SELECT q.chip, q.row_, q.col_, p.sr, p.sk FROM rs p JOIN sd q ON q.chip = p.chip AND abs(q.row_ - p.r) + abs(q.col_ - p.k) = 1),
+ mk AS (SELECT chip, r AS row_, k AS col_, dense_rank() OVER (PARTITION BY chip ORDER BY root) AS marker FROM (SELECT chip, r, k, min(sr * 8 + sk) AS root FROM rs GROUP BY chip, r, k))"""
+
+
+def forest_sql(src: str) -> str:
+    """Regions of ``src`` (chip, row_, col_, e, m; pixels of the mask only), edges one after another: ``grown`` (chip, row_, col_, label)."""
+    return f"""ed AS (SELECT p.chip, p.row_ * 8 + p.col_ + 1 AS a, q.row_ * 8 + q.col_ + 1 AS b, row_number() OVER (PARTITION BY p.chip ORDER BY greatest(p.e, q.e), least(p.e, q.e), p.row_, p.col_, q.row_) AS i
+  FROM {src} p JOIN {src} q ON q.chip = p.chip AND ((q.row_ = p.row_ AND q.col_ = p.col_ + 1) OR (q.row_ = p.row_ + 1 AND q.col_ = p.col_))),
+ px AS (SELECT DISTINCT chip FROM {src}), ce AS (SELECT px.chip, t.i FROM px CROSS JOIN generate_series(1, 64) t(i)),
+ st AS (SELECT ce.chip, list(CASE WHEN s.chip IS NULL THEN 0 WHEN s.m > 0 THEN -s.m ELSE ce.i END ORDER BY ce.i) AS tree FROM ce LEFT JOIN {src} s ON s.chip = ce.chip AND s.row_ * 8 + s.col_ + 1 = ce.i GROUP BY ce.chip),
+ gr(chip, i, tree) AS (SELECT chip, CAST(0 AS BIGINT), tree FROM st
+  UNION ALL SELECT g.chip, ed.i, CASE WHEN tree[a] = tree[b] OR (tree[a] < 0 AND tree[b] < 0) THEN tree ELSE list_transform(tree, lambda x: CASE WHEN x = greatest(tree[a], tree[b]) THEN least(tree[a], tree[b]) ELSE x END) END
+  FROM gr g JOIN ed ON ed.chip = g.chip AND ed.i = g.i + 1),
+ en AS (SELECT chip, unnest(arg_max(tree, i)) AS x, unnest(generate_series(0, 63)) AS pos FROM gr GROUP BY chip),
+ grown AS (SELECT chip, CAST(floor(pos / 8e0) AS INT) AS row_, CAST(pos % 8 AS INT) AS col_, CASE WHEN x < 0 THEN -x ELSE 0 END AS label FROM en),
+ lined AS (SELECT p.chip, p.row_, p.col_, CASE WHEN EXISTS (SELECT 1 FROM grown q WHERE q.chip = p.chip AND abs(q.row_ - p.row_) + abs(q.col_ - p.col_) = 1 AND q.label > 0 AND q.label < p.label) THEN 0 ELSE p.label END AS label FROM grown p)"""
+
+
+@query("markers", f"""
+WITH RECURSIVE s AS (SELECT chip, row_, col_, CASE WHEN v > -0.12 THEN 1 ELSE 0 END AS m, CASE WHEN v > 0.2 THEN 1 ELSE 0 END AS b FROM chip_px), {marker_sql('s')}
+SELECT s.chip, s.row_, s.col_, di.d AS distance, CAST(coalesce(marker, 0) AS INT) AS marker FROM s JOIN di USING (chip, row_, col_) LEFT JOIN mk USING (chip, row_, col_)""")
 def markers(spark, sf):
-    px = fixture(spark, sf, "scene_px").select("raster_id", "row_", "col_", (c("extent_prob") >= 0.35).cast("int").alias("m"), (c("boundary_prob") >= 0.8).cast("int").alias("b"))
-    return R.markers(px, "m", "b", 0, 2, 0.5, block=64)
+    """Seeds of every chip, in blocks that are smaller than a chip."""
+    px = chips(spark, sf).select("chip", "row_", "col_", (c("v") > -0.12).cast("int").alias("m"), (c("v") > 0.2).cast("int").alias("b"))
+    return R.markers(px, "m", "b", 0, 1, 0.0, CHIP, block=4)
 
 
-@query("region_grow")
-def region_grow(spark, sf):
+GROW_SQL = f"""
+WITH RECURSIVE s AS (SELECT chip, row_, col_, -v AS e, CASE WHEN v > 0.25 THEN row_ * 8 + col_ + 1 ELSE 0 END AS m FROM chip_px WHERE v > -0.15), {forest_sql('s')}
+SELECT p.chip, p.row_, p.col_, CAST(coalesce(label, 0) AS INT) AS label FROM chip_px p LEFT JOIN lined USING (chip, row_, col_)"""
+
+
+def grown(spark, sf, **how):
     m = F.when(c("v") > 0.25, c("row_") * 8 + c("col_") + 1).otherwise(0)
     px = chips(spark, sf).select("chip", "row_", "col_", (-c("v")).alias("e"), m.alias("m"), (c("v") > -0.15).cast("int").alias("inside"))
-    return R.region_grow(px, "e", "m", "inside", keys=CHIP)
+    return R.region_grow(px, "e", "m", "inside", keys=CHIP, **how)
+
+
+@query("region_grow", GROW_SQL)
+def region_grow(spark, sf):
+    return grown(spark, sf)
+
+
+@query("region_grow_blocks", GROW_SQL)
+def region_grow_blocks(spark, sf):
+    """The same in blocks that are smaller than a chip, so that regions meet at their borders."""
+    return grown(spark, sf, block=4)
