@@ -265,13 +265,20 @@ def clean_labels(labels: DataFrame, fill_area, merge_area, min_area, mode: str =
         raise ValueError("mode must be exact or fast")
     cut = lambda df: df if valid is None else df.withColumn("label", F.when(F.col(valid) == 0, 0).otherwise(F.col("label")))
     base = materialize(cut(labels).select(*keys, "row_", "col_", "label", *([valid] if valid else [])))
-    lab = base.select(*keys, "row_", "col_", "label")
-    lab = fill_holes_fast(lab, fill_area, keys, block) if mode == "fast" else fill_holes_exact(lab, fill_area, keys, block)
+    on = [*keys, "row_", "col_"]
+    lab = base.select(*on, "label")
+    if any_set(fill_area):
+        lab = fill_holes_fast(lab, fill_area, keys, block) if mode == "fast" else fill_holes_exact(lab, fill_area, keys, block)
     if any_set(merge_area):
         lab = merge_small_fast(lab, merge_area, keys) if mode == "fast" else merge_small_exact(lab, merge_area, keys, block)
-    if any_set(min_area):
-        lab = drop_tiny(lab, min_area, keys)
-    if valid is not None:
-        lab = lab.join(base.select(*keys, "row_", "col_", valid), [*keys, "row_", "col_"])
-        lab = cut(lab)
-    return relabel(lab.select(*keys, "row_", "col_", "label"), keys)
+    if any_set(fill_area) or any_set(merge_area):
+        lab = materialize(lab.join(base.select(*on, valid), on) if valid else lab)
+    else:
+        lab = base
+    # Sizes count pixels that the mask cuts away; a label that keeps none has no number.
+    left = F.col("label") if valid is None else F.when(F.col(valid) == 0, 0).otherwise(F.col("label"))
+    kept = lab.filter("label > 0").groupBy(*keys, "label").agg(F.count("*").alias("n"), F.count_if(left > 0).alias("_left"))
+    kept = materialize(kept.filter((F.col("n") >= column(min_area)) & (F.col("_left") > 0)).select(*keys, "label"))
+    ids = number_rows(kept, ["label"], "new_label", keys)
+    j = join_checked(lab.select(*on, left.alias("label")), ids, [*keys, "label"], "left")
+    return j.select(*on, F.coalesce("new_label", F.lit(0)).cast("int").alias("label"))

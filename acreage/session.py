@@ -121,7 +121,12 @@ def running_total(
     earlier = Window.partitionBy(*group).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
     inside = Window.partitionBy(*group, "_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    joined = tagged.withColumn("_l", F.sum("_w").over(inside)).join(before, [*group, "_p"], "inner")
+    # A null group is a group like any other, so the join has to find it.
+    own = tagged.withColumn("_l", F.sum("_w").over(inside)).alias("a")
+    same = F.col("a._p") == F.col("b._p")
+    for g in group:
+        same = same & F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}"))
+    joined = own.join(before.alias("b"), same, "inner").select("a.*", "b._before")
     return joined.withColumn(name, (F.col("_l") + F.col("_before")).cast("bigint")).drop("_p", "_l", "_before", "_w")
 
 

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import to_array, to_px
 from pyspark.sql import functions as F
@@ -93,11 +94,48 @@ def test_tiny_hot_cells_keep_each_pair_once(spark):
     assert J.box_pairs(d, d, cell=8.0, hot=10, fan=2, depth=2).count() == 3600
 
 
-def test_overlap_of_general_polygons():
-    tri = [[{"x": 0.0, "y": 0.0}, {"x": 4.0, "y": 0.0}, {"x": 0.0, "y": 4.0}, {"x": 0.0, "y": 0.0}]]
-    box = [[{"x": 1.0, "y": 1.0}, {"x": 3.0, "y": 1.0}, {"x": 3.0, "y": 3.0}, {"x": 1.0, "y": 3.0}, {"x": 1.0, "y": 1.0}]]
-    assert V._overlap(tri, box) == pytest.approx(2.0)
-    assert V._overlap(box, tri) == pytest.approx(2.0)
+def as_rings(*rings):
+    return [[{"x": float(x), "y": float(y)} for x, y in [*r, r[0]]] for r in rings]
+
+
+def ring_around(rng, cx, cy, n):
+    a = (np.arange(n) + 0.8 * rng.random(n)) * 2 * np.pi / n
+    r = 1 + 4 * rng.random(n)
+    return list(zip(cx + r * np.cos(a), cy + r * np.sin(a)))
+
+
+def slab_area(a, b):
+    """Area inside both by the even-odd rule: between two levels the common width is linear, so its middle value is exact."""
+    sa, sb = V._segments(a), V._segments(b)
+    ys, area = V._levels(np.vstack([sa, sb])), 0.0
+    for y0, y1 in zip(ys[:-1], ys[1:]):
+        xa, xb = (V._x_at(s[V._active(s, (y0 + y1) / 2)], (y0 + y1) / 2) for s in (sa, sb))
+        area += (y1 - y0) * sum(max(0.0, min(a1, b1) - max(a0, b0)) for a0, a1 in zip(xa[::2], xa[1::2]) for b0, b1 in zip(xb[::2], xb[1::2]))
+    return area
+
+
+@pytest.mark.parametrize("pairs", [1 << 21, 60])
+def test_overlap_of_general_polygons(monkeypatch, pairs):
+    monkeypatch.setattr(V, "EDGE_PAIRS", pairs)
+    rng = np.random.default_rng(2)
+    a, b = [], []
+    for i in range(60):
+        shell = ring_around(rng, 1e5, 1e5, 7 + i % 5)
+        hole = [(1e5 + x, 1e5 + y) for x, y in ((-0.2, -0.2), (0.3, -0.2), (0.1, 0.3))]
+        other = ring_around(rng, 1e5 + 3 * rng.random(), 1e5 + 3 * rng.random(), 6)
+        a.append(as_rings(shell[:: 1 if i % 2 else -1], *([hole] if i % 3 == 0 and min(np.hypot(x - 1e5, y - 1e5) for x, y in shell) > 1 else [])))
+        b.append(as_rings(other[:: -1 if i % 4 else 1]))
+    a += [as_rings([(0, 0), (4, 0), (0, 4)]), as_rings([(0, 0), (2, 0), (2, 2), (0, 2)]), None, as_rings([(0, 0), (1, 0), (1, 1), (0, 1)])]
+    b += [as_rings([(0, 0), (2, 0), (2, 2), (0, 2)]), as_rings([(0, 0), (2, 0), (2, 2), (0, 2)]), as_rings([(0, 0), (1, 0), (1, 1)]), as_rings([(1, 0), (2, 0), (2, 1), (1, 1)])]
+    kind = V._ARROW[G.RINGS]
+    got = V.overlap_areas(pa.array(a, kind), pa.array(b, kind))
+    # A triangle at the middle is inside a star-shaped ring only if no chord of the ring cuts it; take pairs where it is.
+    want = [0.0 if x is None else slab_area(x, y) for x, y in zip(a, b)]
+    valid = [x is None or len(x) == 1 or slab_area(x, as_rings([(p["x"], p["y"]) for p in x[1][:-1]])) == pytest.approx(0, abs=1e-9) for x in a]
+    assert sum(valid) > 50
+    for g, w, ok in zip(got, want, valid):
+        if ok:
+            assert g == pytest.approx(w, abs=1e-8)
 
 
 def test_make_valid_bow_tie():
@@ -255,3 +293,9 @@ def test_trials_are_scored_by_the_whole_flow(spark):
     assert len({(x["pred_count"], x["tp"], x["area_f1"]) for x in got.values()}) >= 4
     with pytest.raises(TypeError):
         P.search_params(px, {"no_such": [1, 2]}, 2, 1, 1)
+
+
+def test_numbers_of_null_groups(spark):
+    d = spark.createDataFrame([(None, 3), (None, 1), (5, 2), (5, 1), (None, 2)], "g int, v int")
+    got = sorted(((r.g is None, r.g, r.v, r.rn) for r in number_rows(d, ["v"], "rn", ["g"]).collect()), key=str)
+    assert got == sorted([(True, None, 1, 1), (True, None, 2, 2), (True, None, 3, 3), (False, 5, 1, 1), (False, 5, 2, 2)], key=str)
