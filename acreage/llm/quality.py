@@ -36,7 +36,6 @@ BASE = (Rule("few_words", "n_words", low=50), Rule("repeated_words", "repeat_per
 
 #: The further rules; each measure is a column of :func:`measures`.
 RULES = (
-    Rule("many_words", "n_words", high=1_000_000),
     Rule("word_length", "mean_word_chars", low=2, high=15),
     Rule("symbols", "symbols_per_word", high=0.25),
     Rule("stop_words", "stop_word_ratio", low=0.01),
@@ -46,14 +45,22 @@ RULES = (
 )
 
 
-def _split(df: DataFrame, text: str) -> DataFrame:
+def _unused(df: DataFrame) -> str:
+    """A prefix that no column of ``df`` has, for columns that are needed on the way only."""
+    prefix = "_"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
+def _split(df: DataFrame, text: str, p: str) -> DataFrame:
     """Words, their hashes, lines with a word: each array is a column of its own, so that it is made once a row."""
-    t = df.withColumn("_t", whole_text(text))
-    t = t.withColumn("_w", F.filter(F.split(_without(F.col("_t"), BLANKS[1:], " "), " "), lambda x: x != ""))
-    t = t.withColumn("_l", F.filter(F.split("_t", "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != ""))
-    t = t.withColumn("_h", F.transform("_w", lambda x: F.xxhash64(x)))
-    windows = F.transform("_h", lambda x, i: F.xxhash64(x, F.get("_h", i + 1), F.get("_h", i + 2)))
-    return t.withColumn("_g", F.slice(windows, 1, F.greatest(F.lit(0), F.size("_h") - 2)))
+    t = df.withColumn(p + "t", whole_text(text))
+    t = t.withColumn(p + "w", F.filter(F.split(_without(F.col(p + "t"), BLANKS[1:], " "), " "), lambda x: x != ""))
+    t = t.withColumn(p + "l", F.filter(F.split(p + "t", "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != ""))
+    t = t.withColumn(p + "h", F.transform(p + "w", lambda x: F.xxhash64(x)))
+    windows = F.transform(p + "h", lambda x, i: F.xxhash64(x, F.get(p + "h", i + 1), F.get(p + "h", i + 2)))
+    return t.withColumn(p + "g", F.slice(windows, 1, F.greatest(F.lit(0), F.size(p + "h") - 2)))
 
 
 def _without(text: Column, chars: str, by: str = "") -> Column:
@@ -91,28 +98,28 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 def measures(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``df`` with the measures that rules can name. No shuffle: a row is measured where it is read."""
-    own = df.columns
-    t = _split(df, text)
+    own, p = df.columns, _unused(df)
+    t = _split(df, text, p)
     t = (
-        t.withColumn("n_words", F.size("_w").cast("long"))
-        .withColumn("word_chars", F.length(F.array_join("_w", "")).cast("long"))
-        .withColumn("n_symbols", (F.length("_t") - F.length(_without(F.col("_t"), SYMBOLS))).cast("long"))
-        .withColumn("n_lines", F.size("_l").cast("long"))
-        .withColumn("n_dup_lines", (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"))
-        .withColumn("n_repeat_words", _repeat_words("_g"))
-        .withColumn("_stop", F.size(F.filter("_w", lambda x: x.isin(STOP_WORDS))))
-        .withColumn("_bullet", F.size(F.filter("_l", lambda x: F.ltrim(x).rlike("^[-*•]"))))
-        .withColumn("_open", F.size(F.filter("_l", lambda x: F.rtrim(x).rlike("(\\.\\.\\.|…)$"))))
+        t.withColumn("n_words", F.size(p + "w").cast("long"))
+        .withColumn("word_chars", F.length(F.array_join(p + "w", "")).cast("long"))
+        .withColumn("n_symbols", (F.length(p + "t") - F.length(_without(F.col(p + "t"), SYMBOLS))).cast("long"))
+        .withColumn("n_lines", F.size(p + "l").cast("long"))
+        .withColumn("n_dup_lines", (F.size(p + "l") - F.size(F.array_distinct(p + "l"))).cast("long"))
+        .withColumn("n_repeat_words", _repeat_words(p + "g"))
+        .withColumn(p + "stop", F.size(F.filter(p + "w", lambda x: x.isin(STOP_WORDS))))
+        .withColumn(p + "bullet", F.size(F.filter(p + "l", lambda x: F.ltrim(x).rlike("^[-*•]"))))
+        .withColumn(p + "open", F.size(F.filter(p + "l", lambda x: F.rtrim(x).rlike("(\\.\\.\\.|…)\\z"))))
     )
     n, lines = F.col("n_words"), F.col("n_lines")
     made = {
         "repeat_percent": _ratio(100 * F.col("n_repeat_words"), n),
         "mean_word_chars": _ratio(F.col("word_chars"), n),
         "symbols_per_word": _ratio(F.col("n_symbols"), n),
-        "stop_word_ratio": _ratio(F.col("_stop"), n),
+        "stop_word_ratio": _ratio(F.col(p + "stop"), n),
         "dup_line_ratio": _ratio(F.col("n_dup_lines"), lines),
-        "bullet_line_ratio": _ratio(F.col("_bullet"), lines),
-        "ellipsis_line_ratio": _ratio(F.col("_open"), lines),
+        "bullet_line_ratio": _ratio(F.col(p + "bullet"), lines),
+        "ellipsis_line_ratio": _ratio(F.col(p + "open"), lines),
     }
     counts = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
     return t.select(*[F.col(f"`{c}`") for c in own if c not in counts and c not in made], *counts, *[v.alias(k) for k, v in made.items()])
@@ -139,12 +146,13 @@ def judge(df: DataFrame, text: str = "text", base: Sequence[Rule] = BASE, rules:
     """
     made = ["failed_rules", "base_failed", "kept"]
     m = measures(df.drop(*[c for c in made if c in df.columns]), text)
-    m = m.withColumn("_base", failed(base)).withColumn("_more", failed(rules))
+    p = _unused(m)
+    m = m.withColumn(p + "base", failed(base)).withColumn(p + "more", failed(rules))
     return (
-        m.withColumn("failed_rules", F.concat("_base", "_more"))
-        .withColumn("base_failed", F.size("_base") > 0)
+        m.withColumn("failed_rules", F.concat(p + "base", p + "more"))
+        .withColumn("base_failed", F.size(p + "base") > 0)
         .withColumn("kept", F.size("failed_rules") == 0)
-        .drop("_base", "_more")
+        .drop(p + "base", p + "more")
     )
 
 

@@ -39,7 +39,7 @@ m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(list_aggrega
              len(list_filter(l, lambda x: regexp_matches(x, '(\\.\\.\\.|…) *$'))) AS n_open FROM u LEFT JOIN k USING (rid)),
 v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND n_words <= 1000000 AND word_chars BETWEEN 2 * n_words AND 15 * n_words AND n_symbols <= 0.25 * n_words
+       NOT base_failed AND word_chars BETWEEN 2 * n_words AND 15 * n_words AND n_symbols <= 0.25 * n_words
        AND n_stop >= 0.01 * n_words AND n_dup_lines <= 0.6 * n_lines AND n_bullet <= 0.9 * n_lines AND n_open <= 0.5 * n_lines AS kept
 FROM v""".replace("{stop}", "', '".join(quality.STOP_WORDS))
 

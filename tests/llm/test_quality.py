@@ -68,3 +68,20 @@ def test_no_user_function_and_no_shuffle(spark):
     for df in (quality.judge(docs), quality.only_kept(docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_own_columns_with_helper_names_and_line_ends(spark):
+    words = lambda j: " ".join(f"the w{j}x{i}" for i in range(8))
+    open_lines = "".join(f"{words(j)} {j}...\r\n" for j in range(12))
+    rows = [(1, open_lines, "a", 1, "x"), (2, open_lines.replace("\r", ""), "b", 2, "y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _t string, _base int, __l string")
+    got = {r["doc_id"]: r for r in quality.judge(docs).collect()}
+    assert [(r["doc_id"], r["_t"], r["_base"], r["__l"]) for r in got.values()] == [(1, "a", 1, "x"), (2, "b", 2, "y")]
+    # A line that ends in a carriage return does not end in dots.
+    assert got[1]["kept"] and not got[2]["kept"]
+
+
+def test_no_text_fails_for_its_length(spark):
+    docs = spark.range(1).select("id", F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(1_000_100)), lambda i: F.concat(F.lit("the"), i.cast("string")))).alias("text"))
+    row = quality.judge(docs.withColumn("text", F.concat("text", F.repeat(F.lit(" the"), 1)))).select("n_words", "failed_rules").first()
+    assert row["n_words"] == 1_000_101 and "few_words" not in row["failed_rules"] and "many_words" not in row["failed_rules"]
