@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from acreage.functions import arrays as A
 from acreage.operators import components as C, distance as D, regions as R
 from acreage.plans.registry import fixture, query
 

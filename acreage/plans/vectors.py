@@ -220,13 +220,20 @@ def rasterize_lines(spark, sf):
     return V.lines(polygons(spark, sf), IDS, W, scene_height(spark, sf))
 
 
+#: Windows of 20 x 20 anywhere in the extent of the polygons, however large that is.
+WINDOWS = """ext AS (SELECT greatest(1, CAST(max(x1) AS BIGINT) - 20) AS mx, greatest(1, CAST(max(y1) AS BIGINT) - 20) AS my FROM field_parts),
+ w AS (SELECT s_suppkey AS win, CAST((s_suppkey * 29) % mx AS DOUBLE) AS x, CAST((s_suppkey * 31) % my AS DOUBLE) AS y FROM supplier CROSS JOIN ext)"""
+
+
 def windows(spark, sf):
-    k = c("s_suppkey")
-    return table(spark, sf, "supplier").select(k.alias("win"), ((k * 29) % 230).cast("int").alias("x"), ((k * 31) % 580).cast("int").alias("y"), F.lit(20).alias("w"), F.lit(20).alias("h"))
+    k, b = c("s_suppkey"), G.bounds(c("rings"))
+    far = polygons(spark, sf).agg(F.max(b["x1"]).cast("bigint").alias("x"), F.max(b["y1"]).cast("bigint").alias("y")).first()
+    at = lambda step, end: ((k * step) % max(1, (end or 0) - 20)).cast("int")
+    return table(spark, sf, "supplier").select(k.alias("win"), at(29, far["x"]).alias("x"), at(31, far["y"]).alias("y"), F.lit(20).alias("w"), F.lit(20).alias("h"))
 
 
-@query("window_polygon_join", """
-WITH w AS (SELECT s_suppkey AS win, CAST((s_suppkey * 29) % 230 AS DOUBLE) AS x, CAST((s_suppkey * 31) % 580 AS DOUBLE) AS y FROM supplier),
+@query("window_polygon_join", f"""
+WITH {WINDOWS},
  e AS (SELECT w.*, f.feat_index, f.part, (ax + bx) / 2 - x - 10 AS mx, (ay + by_) / 2 - y - 10 AS my, (bx - ax) / 2 AS dx, (by_ - ay) / 2 AS dy FROM w JOIN field_edges f ON least(ax, bx) <= x + 20 AND greatest(ax, bx) >= x AND least(ay, by_) <= y + 20 AND greatest(ay, by_) >= y)
 SELECT DISTINCT win, feat_index, part FROM e WHERE abs(dx * my - dy * mx) <= 10 * abs(dy) + 10 * abs(dx)""")
 def window_polygon_join(spark, sf):
@@ -237,7 +244,7 @@ def window_polygon_join(spark, sf):
 
 
 @query("intersection_area", f"""
-WITH w AS (SELECT s_suppkey AS win, CAST((s_suppkey * 29) % 230 AS DOUBLE) AS x, CAST((s_suppkey * 31) % 580 AS DOUBLE) AS y FROM supplier),
+WITH {WINDOWS},
  i AS (SELECT win, feat_index, part, greatest(0, least(x1, x + 20) - greatest(x0, x)) * greatest(0, least(y1, y + 20) - greatest(y0, y)) - CASE WHEN has_hole THEN greatest(0, least(x1 - 1, x + 20) - greatest(x0 + 1, x)) * greatest(0, least(y1 - 1, y + 20) - greatest(y0 + 1, y)) ELSE 0 END AS area
   FROM w JOIN field_parts f ON x0 <= x + 20 AND x1 >= x AND y0 <= y + 20 AND y1 >= y WHERE NOT is_bowtie)
 SELECT win, feat_index, part, round(area, 6) AS area FROM i WHERE area > 0""")
