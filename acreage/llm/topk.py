@@ -15,24 +15,35 @@ SCALE = 256
 PIVOTS, SAMPLE = 64, 2048
 #: Rows of an annulus piece and of a group of pieces; queries that are compared at a time.
 PACK, GROUP, QUERIES = 1024, 16_384, 1024
-#: Largest component and squared norm that integer scores can hold.
-LARGEST, EXACT = 2**31 - 1, 2.0**53
+#: Largest component that is kept in four bytes, and that takes part at all.
+SHORT, LARGEST = 2.0**31 - 1, 2.0**63 - 1024
+#: Largest squared norm below which floating point is exact, and below which no score can leave a long.
+EXACT, LONG = 2.0**53, 2.0**62
+
+
+def _ints(data: bytes, n: int, width: int) -> np.ndarray:
+    """``n`` vectors of four or eight bytes a component."""
+    return np.frombuffer(data, "<i4" if len(data) == 4 * n * width else "<i8").reshape(n, width)
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<i4").reshape(len(column), width)
+    return _ints(b"".join(column.to_pylist()), len(column), width)
 
 
-def integers(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, int, int]:
+def integers(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, int, float]:
     """``(id, vec, norm)`` of every vector that takes part, the dimension, and the largest squared norm.
 
     Components become floor(256 x). Null vectors and those with a null or non-finite component are left out; vectors shorter
-    than the longest count as padded with zeros. A component beyond 2^31 after scaling raises an error, as scores could not
-    be exact.
+    than the longest count as padded with zeros. All vectors have eight bytes a component if one has a component beyond 2^31
+    after scaling, else four. A component beyond 2^63 raises an error, as it is no long.
     """
     d = vectors.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     d = d.filter(F.col("v").isNotNull() & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    width = d.agg(F.max(F.size("v"))).first()[0] or 0
+    width, most = d.agg(F.max(F.size("v")), F.max(F.array_max(F.transform("v", F.abs)))).first()
+    width, most = width or 0, SCALE * (most or 0.0) + 1
+    if most > LARGEST:
+        raise ValueError("a vector component is too large for a long")
+    size = 4 if most <= SHORT else 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -41,14 +52,12 @@ def integers(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, int,
             made = np.zeros((len(lists), width))
             made[np.arange(width)[None, :] < sizes[:, None]] = lists.flatten().to_numpy()
             made = np.floor(SCALE * made)
-            if np.abs(made).max(initial=0) > LARGEST:
-                raise ValueError("a vector component is too large for exact scores")
-            made = made.astype("<i4")
-            norm = np.einsum("ij,ij->i", made.astype(np.int64), made.astype(np.int64))
+            norm = np.einsum("ij,ij->i", made, made)
+            made = made.astype(f"<i{size}")
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array([r.tobytes() for r in made], pa.binary()), pa.array(norm)], names=["id", "vec", "norm"])
 
-    rows = stored(d.mapInArrow(run, "id bigint, vec binary, norm bigint"), "vectors")
-    return rows, width, rows.agg(F.max("norm")).first()[0] or 0
+    rows = stored(d.mapInArrow(run, "id bigint, vec binary, norm double"), "vectors")
+    return rows, width, rows.agg(F.max("norm")).first()[0] or 0.0
 
 
 class Space:
@@ -58,8 +67,8 @@ class Space:
     (|q|^2 + m - d^2) / 2 for their distance d.
     """
 
-    def __init__(self, sample: np.ndarray, largest: int, pivots: int):
-        self.largest = float(largest)
+    def __init__(self, sample: np.ndarray, largest: float, pivots: int):
+        self.largest = largest
         lifted = self._lift(sample)
         start = np.linspace(0, len(lifted) - 1, min(pivots, len(lifted))).astype(int)
         centres = lifted[start]
@@ -88,10 +97,25 @@ class Space:
         return (norm + self.largest - least * least) / 2 + 1e-9 * (norm + self.largest) + 1e-6
 
 
-def scores(q: np.ndarray, v: np.ndarray, largest: int) -> np.ndarray:
-    """Exact inner products: in floating point where every partial sum is below 2^53, else in integers."""
-    kind = np.float64 if largest < EXACT else np.int64
-    return (q.astype(kind) @ v.astype(kind).T).astype(np.int64)
+def scores(q: np.ndarray, v: np.ndarray, largest: float, own: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Exact inner products, but ``LOW`` for the places ``own`` of rows with themselves: in floating point where every partial sum is below 2^53, else in integers.
+
+    Partial sums of integers may wrap around, as the sum comes back into range if it fits a long. Where that is in doubt it
+    is added up without limit, and a score that is no long raises an error.
+    """
+    if largest < EXACT:
+        exact = (q.astype(np.float64) @ v.astype(np.float64).T).astype(np.int64)
+    else:
+        exact = q.astype(np.int64) @ v.astype(np.int64).T
+    exact[own] = LOW
+    if largest >= LONG:
+        a, b = q.astype(np.float64), v.astype(np.float64)
+        size = np.abs(a @ b.T) + a.shape[1] * 2.0**-50 * (np.abs(a) @ np.abs(b).T)
+        size[own] = 0
+        for i, j in zip(*np.nonzero(size >= 2.0**63)):
+            if abs(sum(x * y for x, y in zip(q[i].tolist(), v[j].tolist()))) >= 2**63:
+                raise OverflowError("a score is no long")
+    return exact
 
 
 class Best:
@@ -179,9 +203,8 @@ def _own_queries(space: Space, width: int, every: int, k: int):
                 at = np.flatnonzero(ids % every == 0)
                 if not len(at):
                     continue
-                v = np.frombuffer(row["vecs"], "<i4").reshape(len(ids), width)
-                s = scores(v[at], v, space.largest)
-                s[np.arange(len(at)), at] = LOW
+                v = _ints(row["vecs"], len(ids), width)
+                s = scores(v[at], v, space.largest, (np.arange(len(at)), at))
                 floor = np.sort(s, axis=1)[:, -k] if len(ids) > k else np.full(len(at), LOW)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(at), row["pack"])), pa.array(at), pa.array(ids[at]), pa.array([v[i].tobytes() for i in at], pa.binary()), pa.array(floor)],
@@ -229,10 +252,11 @@ def _search(space: Space, width: int, k: int):
                 continue
             p = packs[j]
             ids = np.frombuffer(p["ids"], "<i8")
-            s = scores(q[live], np.frombuffer(p["vecs"], "<i4").reshape(len(ids), width), space.largest)
-            hit = s >= best.floor[live][:, None]
             own = np.flatnonzero(q_pack[live] == p["pack"])
-            hit[own, q_pos[live[own]]] = False
+            own = own, q_pos[live[own]]
+            s = scores(q[live], _ints(p["vecs"], len(ids), width), space.largest, own)
+            hit = s >= best.floor[live][:, None]
+            hit[own] = False
             row, col = np.nonzero(hit)
             if len(row):
                 best.add(live[row], s[row, col], ids[col])
@@ -244,7 +268,8 @@ def _search(space: Space, width: int, k: int):
 def top_k(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 50, k: int = 5, pivots: int = PIVOTS) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each row whose key ``every`` divides, the k rows of highest inner product but itself.
 
-    Ties go to the smaller key. Rows with a null key take no part. With fewer rows than k all are returned, and an empty
+    Ties go to the smaller key. Rows with a null key take no part. Scores are exact; one of two rows that is met and is no long
+    raises an error. With fewer rows than k all are returned, and an empty
     table gives no rows. Pivots come from a fixed sample of ``SAMPLE`` rows; every row is indexed, and results are exact for
     any pivots. The driver holds the sample and one directory line for each ``GROUP`` rows and pivot. A group never has more
     than ``GROUP`` rows or meets more than ``QUERIES`` queries in one task.
@@ -255,7 +280,7 @@ def top_k(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", ev
     schema = "query_id bigint, rank int, vec_id bigint, score bigint"
     if not sample or not width:
         return spark.createDataFrame([], schema)
-    space = Space(np.frombuffer(b"".join(bytes(r[0]) for r in sample), "<i4").reshape(len(sample), width), largest, pivots)
+    space = Space(_ints(b"".join(bytes(r[0]) for r in sample), len(sample), width), largest, pivots)
     packs = build_index(rows, space, width)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # Packs are numbered by part in the order of the index; parts are few, so only their sizes meet in one task.

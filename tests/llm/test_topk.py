@@ -45,3 +45,24 @@ def test_few_rows_and_none(spark):
 def test_large_components_stay_exact(spark):
     rows = [(0, [3e6, 1.0]), (1, [3e6, 2.0]), (2, [3e6, 3.0])]
     assert run(spark, rows) == plain(rows, 5, 4)
+
+
+def doubles(spark, rows, k=4):
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    return sorted(map(tuple, topk.top_k(df, every=5, k=k, pivots=3).collect()))
+
+
+def test_components_beyond_four_bytes(spark):
+    rows = [(0, [1e7, 0.0]), (1, [1.0, 2.0]), (2, [-3.0, 0.5]), (5, [0.25, 1e7]), (6, [1e7, 1.0])]
+    assert doubles(spark, rows) == plain(rows, 5, 4)
+    # The product of the first row with itself is no long, but is not asked for.
+    rows = [(0, [1e13, -1e13]), (1, [1.0, 2.0]), (2, [1e13, 1e13]), (3, [-3.0, 0.5])]
+    assert doubles(spark, rows) == plain(rows, 5, 4)
+
+
+def test_scores_beyond_a_long_raise(spark):
+    top = (2**31 - 1) / 256
+    with pytest.raises(Exception, match="a score is no long"):
+        doubles(spark, [(0, [top] * 3), (1, [top] * 3), (2, [1.0, 0.0, 0.0])])
+    with pytest.raises(ValueError, match="too large for a long"):
+        doubles(spark, [(0, [1e30]), (1, [1.0])])
