@@ -21,15 +21,15 @@ def _hashes(line: Column) -> list[Column]:
     return [F.xxhash64(trimmed).alias("h1"), F.xxhash64(F.lit(1), trimmed).alias("h2")]
 
 
-def _row_key(key: str, text: str) -> Column:
-    """Names a row by its content, so that null and repeated keys do no harm."""
-    return F.xxhash64(F.col(key), whole_text(text))
+def _row_key(key: str, text: str) -> list[Column]:
+    """Names a row by 128 bits of its content, so that null and repeated keys do no harm."""
+    return [F.xxhash64(F.col(key), whole_text(text)).alias("r1"), F.xxhash64(F.lit(1), F.col(key), whole_text(text)).alias("r2")]
 
 
 def site_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", site: str = "source") -> DataFrame:
     """Every line with a word: row key, doc key, place, site, and the line's hashes."""
-    d = docs.select(_row_key(key, text).alias("row"), F.col(key).alias("doc"), F.col(site).cast("string").alias("site"), F.posexplode(F.split(whole_text(text), "\n")).alias("pos", "line"))
-    return d.filter(F.btrim("line", F.lit(BLANKS)) != "").select("row", "doc", "pos", "site", *_hashes(F.col("line")))
+    d = docs.select(*_row_key(key, text), F.col(key).alias("doc"), F.col(site).cast("string").alias("site"), F.posexplode(F.split(whole_text(text), "\n")).alias("pos", "line"))
+    return d.filter(F.btrim("line", F.lit(BLANKS)) != "").select("r1", "r2", "doc", "pos", "site", *_hashes(F.col("line")))
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, log_k: int = LOG_K) -> DataFrame:
@@ -56,20 +56,20 @@ def without_boilerplate(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
     Lines are compared without blanks at their ends; blank lines stay. The line remains at the smallest (key, place) that has
     it, so that nothing is lost of what many sites share; repeated rows of that key all keep it. No row is dropped: a text
-    may become empty. A null text counts as empty, a null site as none, and input columns with the two new names are replaced.
+    may become empty. A null text counts as empty, a null site as none, and input columns with the two new names are replaced; any other name may stand in the input.
     """
     docs = docs.drop("n_lines", "n_removed")
     lines = site_lines(docs, key, text, site)
     known = stored(boilerplate(lines, min_sites), "boilerplate").select("h1", "h2", "first")
     gone = lines.join(known, ["h1", "h2"]).filter(~F.struct("doc", "pos").eqNullSafe(F.col("first")))
-    gone = gone.groupBy("row").agg(F.collect_set("pos").alias("_gone"))
-    d = docs.withColumn("_row", _row_key(key, text)).join(gone, F.col("_row") == F.col("row"), "left")
-    d = d.withColumn("_lines", F.split(whole_text(text), "\n"))
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
-    kept = F.array_join(F.transform(left, lambda i: F.get("_lines", i)), "\n")
-    columns = {
-        text: F.when(F.col("_gone").isNull(), whole_text(text)).otherwise(kept),
-        "n_lines": F.size("_lines").cast("long"),
-        "n_removed": F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long"),
-    }
-    return d.withColumns(columns).drop("_row", "row", "_gone", "_lines")
+    gone = gone.groupBy("r1", "r2").agg(F.collect_set("pos").alias("gone"))
+    # Input columns travel in a struct, so that none can clash with the names used here.
+    d = docs.select(F.struct("*").alias("all"), *_row_key(key, text), F.split(whole_text(text), "\n").alias("lines"))
+    d = d.join(gone, ["r1", "r2"], "left")
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    kept = F.array_join(F.transform(F.coalesce(left, F.sequence(F.lit(0), F.size("lines") - 1)), lambda i: F.get("lines", i)), "\n")
+    return d.select(
+        *[kept.alias(c) if c == text else F.col("all").getField(c).alias(c) for c in docs.columns],
+        F.size("lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+    )

@@ -54,3 +54,13 @@ def test_far_lines_are_decided_by_their_sketch(spark):
 
 def test_empty_table(spark):
     assert lines.without_boilerplate(spark.createDataFrame([], "doc_id bigint, text string, source string")).count() == 0
+
+
+def test_input_columns_may_have_any_name(spark):
+    names = ["row", "_row", "r1", "h1", "gone", "lines", "all", "doc", "pos", "a.b"]
+    data = [(i, f"shared\nown {i}", f"s{i}", *[f"{n} {i}" for n in names]) for i in range(6)]
+    schema = "doc_id bigint, text string, source string, " + ", ".join(f"`{n}` string" for n in names)
+    got = lines.without_boilerplate(spark.createDataFrame(data, schema))
+    assert got.columns == ["doc_id", "text", "source", *names, "n_lines", "n_removed"]
+    want = [(i, t if i == 0 else f"own {i}", *rest, 2, int(i > 0)) for i, t, *rest in data]
+    assert sorted(map(tuple, got.collect())) == want
