@@ -294,6 +294,10 @@ def sketch(least: np.ndarray) -> bytes:
         return np.packbits((((least ^ (least >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(63)).astype(np.uint8)).tobytes()
 
 
+#: The name of a row: 128 bits of its key and text.
+ROW = "struct<a:bigint,b:bigint>"
+
+
 def _profiles(docs: DataFrame, row: Column, key: str, text: str, shingle: int) -> DataFrame:
     """Per row: its name, key, node (hash of the words, so that copies are one node), number of shingles, sketch and bands."""
     kind = docs.schema[key].dataType.simpleString()
@@ -310,7 +314,7 @@ def _profiles(docs: DataFrame, row: Column, key: str, text: str, shingle: int) -
                 yield pa.RecordBatch.from_arrays([part.column("row"), part.column("k"), *columns], names=["row", "k", "node", "n", "bits", "bands"])
 
     own = docs.select(row.alias("row"), F.col(key).alias("k"), whole_text(text).cast("binary").alias("t"))
-    return own.mapInArrow(run, f"row bigint, k {kind}, node bigint, n bigint, bits binary, bands array<bigint>")
+    return own.mapInArrow(run, f"row {ROW}, k {kind}, node bigint, n bigint, bits binary, bands array<bigint>")
 
 
 def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
@@ -361,10 +365,10 @@ def _exact(similarity: float):
     return run
 
 
-def confirmed(docs: DataFrame, members: DataFrame, text: str, shingle: int, similarity: float) -> DataFrame:
+def confirmed(texts: DataFrame, members: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Links ``(a, b)`` between nodes of the same root whose sets of shingles are of ``similarity`` or more.
 
-    ``docs`` has its name in ``_row``; ``members``: row, node, root, n (shingles) and bits of each candidate. The links connect
+    ``texts`` has names (``_row``) and bytes (``t``), repeated rows too, of which one is compared; ``members``: row, node, root, n (shingles) and bits of each candidate. The links connect
     what all such pairs would connect, but are fewer than the rows. Small groups meet in lots; a large one is cut by a
     hash of the node and every pair of its pieces is a task of its own, so that no group has to fit in one task.
     """
@@ -372,7 +376,7 @@ def confirmed(docs: DataFrame, members: DataFrame, text: str, shingle: int, simi
     cut = F.ceil(F.greatest(F.col("_rows") / PIECE, F.col("_bytes") / LOT_BYTES))
     size = stored(size.select("root", "_bytes", cut.cast("int").alias("_k")), "sizes")
     lots = 1 + int(size.filter("_k <= 1").agg(F.coalesce(F.sum("_bytes"), F.lit(0))).first()[0]) // LOT_BYTES
-    lots = max(lots, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    lots = max(lots, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = members.join(size, "root").withColumn("_k", F.greatest("_k", F.lit(1)))
     placed = placed.withColumn("_big", F.col("_k") > 1)
     placed = placed.withColumn("lot", F.when(F.col("_big"), F.col("root")).otherwise(F.pmod(F.xxhash64("root"), F.lit(lots))))
@@ -387,7 +391,7 @@ def confirmed(docs: DataFrame, members: DataFrame, text: str, shingle: int, simi
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], pa.array(made, pa.binary())], names=[*names, "hashes"])
 
     names = ["node", "bits", "_big", "lot", "_g", "_k"]
-    texts = docs.select("_row", whole_text(text).cast("binary").alias("t")).join(placed, "_row").drop("_row")
+    texts = texts.join(placed, "_row").dropDuplicates(["_row"])
     sets = texts.select(*names, "t").mapInArrow(run, "node bigint, bits binary, _big boolean, lot bigint, _g int, _k int, hashes binary")
     sets = sets.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
     sets = sets.select(
@@ -411,16 +415,18 @@ def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text"
     connect is then compared by the sets themselves. Texts without words are copies of each other. Names, sketches and
     bands are shuffled to find the candidates; texts move once to be compared, and once to meet the names of those that stay.
     """
-    row = F.xxhash64(F.col(key), whole_text(text))
+    name = F.col(key), whole_text(text)
+    row = F.struct(F.xxhash64(*name).alias("a"), F.xxhash64(F.lit(1), *name).alias("b"))
     made = stored(_profiles(docs, row, key, text, shingle), "profiles")
     nodes = made.groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("bands").alias("bands"))
     nodes = stored(nodes, "nodes")
     spread = nodes.select("node", "bits", F.posexplode("bands").alias("_i", "_b"))
     spread = spread.select(F.xxhash64("_i", "_b").alias("bucket"), "node", "bits")
     members = nodes.drop("bands").join(components(linked(spread, radius_of(similarity))), "node")
-    links = confirmed(docs.withColumn("_row", row), stored(members, "members"), text, shingle, similarity)
+    links = confirmed(docs.select(row.alias("_row"), name[1].cast("binary").alias("t")), stored(members, "members"), shingle, similarity)
     roots = components(stored(links, "links"))
     least = made.groupBy("node").agg(F.min(F.struct(F.col("k").isNull().alias("none"), "k", "row")).alias("least"))
     stays = least.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("least").alias("least"))
     stays = stored(stays.select(F.col("least.row").alias("_row")), "survivors")
-    return docs.withColumn("_row", row).join(stays, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
+    # Input columns travel in a struct, so that none can clash with the names used here.
+    return docs.select(F.struct("*").alias("all"), row.alias("_row")).join(stays, "_row", "left_semi").dropDuplicates(["_row"]).select("all.*")

@@ -104,3 +104,26 @@ def test_near_copies_are_decided_at_the_similarity_itself(spark, piece, monkeypa
     rows += [(1100 + i, " ".join(f"c{j}" for j in range(2 * i, 2 * i + 60))) for i in range(40)]
     got = {r[0] for r in simhash.without_near_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got == {4 * i + k for i in range(80) for k in (0, 2, 3)} | {1000, 1010, 1100}
+
+
+def test_near_copies_of_repeated_rows_and_any_column_names(spark, monkeypatch):
+    """Repeats of a row add nothing to the groups that are compared, and no input column is lost."""
+    body = " ".join(f"w{i}" for i in range(100))
+    rows = [(1, body, "r", "a")] * 300 + [(2, body + " more", "r", "b")] * 300 + [(3, "quite another text of some words", "r", "c")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _row string, `all` string").repartition(7)
+    plain, lots = simhash._exact, []
+
+    def counted(similarity):
+        run = plain(similarity)
+
+        def small(key, t):
+            assert t.num_rows <= 2, t.num_rows
+            return run(key, t)
+
+        lots.append(similarity)
+        return small
+
+    monkeypatch.setattr(simhash, "_exact", counted)
+    got = simhash.without_near_copies(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == [(1, body, "r", "a"), (3, "quite another text of some words", "r", "c")] and lots
