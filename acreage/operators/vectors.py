@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from acreage.functions import geometry as G
+from acreage.operators import overlay as O
 from acreage.operators.settings import any_set, column, largest
 from acreage.operators.spatial import box_pairs
 from acreage.session import join_checked, materialize, number_rows, ship
@@ -31,77 +32,38 @@ def edges_of(polys: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 
 def invalid_parts(polys: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Ids of polygons that are not closed, have too few points, or whose edges cross.
+    """Ids of polygons that are not valid: a ring is not closed or has fewer than three different corners, edges cross, a ring
+    touches itself or goes back on itself, two rings share a stretch, or a hole lies outside the shell or in another hole.
 
-    Edges of one polygon meet through grid cells, so the work follows the local crowding and not the
-    square of the vertex count.
+    Repeated points and rings that touch each other at a point are valid. Edges of one polygon meet through grid cells, so the
+    work follows the local crowding and not the square of the vertex count.
     """
     ids = list(ids)
+    lone = F.transform("rings", lambda r: F.filter(r, lambda p, i: (i == 0) | (p != F.element_at(r, F.greatest(i, F.lit(1))))))
     malformed = F.exists("rings", lambda r: (F.size(r) < 4) | (r[0]["x"] != F.element_at(r, -1)["x"]) | (r[0]["y"] != F.element_at(r, -1)["y"]))
-    bad = polys.filter(malformed).select(*ids)
-    e = edges_of(polys, ids).select(
-        *ids, "ring", "i", "ax", "ay", "bx", "by", F.least("ax", "bx").alias("x0"), F.least("ay", "by").alias("y0"),
+    polys = polys.select(*ids, malformed.alias("_malformed"), lone.alias("rings"))
+    bad = polys.filter(F.col("_malformed") | F.exists("rings", lambda r: F.size(r) < 4)).select(*ids)
+    middle = lambda h, axis: (F.col("rings")[h][0][axis] + F.col("rings")[h][1][axis]) / 2
+    stray = F.exists(F.sequence(F.lit(1), F.size("rings") - 1), lambda h: ~G.contains(F.filter("rings", lambda r, k: k != h), middle(h, "x"), middle(h, "y")))
+    bad = bad.unionByName(polys.filter(F.size("rings") > 1).filter(stray).select(*ids))
+    polys = polys.withColumn("_n", F.transform("rings", lambda r: F.size(r) - 1))
+    e = edges_of(polys, [*ids, "_n"]).select(
+        *ids, "ring", "i", F.col("_n")[F.col("ring")].alias("n"), "ax", "ay", "bx", "by", F.least("ax", "bx").alias("x0"), F.least("ay", "by").alias("y0"),
         F.greatest("ax", "bx").alias("x1"), F.greatest("ay", "by").alias("y1"))
     e = materialize(e)
     span = e.agg(F.avg(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))).first()[0]
     p = box_pairs(e, e, ids, max(4.0 * (span or 1.0), 1e-9), hot=256).filter(F.struct("l_ring", "l_i") < F.struct("r_ring", "r_i"))
     side = lambda a, b, c: (F.col(f"{b}x") - F.col(f"{a}x")) * (F.col(f"{c}y") - F.col(f"{a}y")) - (F.col(f"{b}y") - F.col(f"{a}y")) * (F.col(f"{c}x") - F.col(f"{a}x"))
-    crossing = (side("l_a", "l_b", "r_a") * side("l_a", "l_b", "r_b") < 0) & (side("r_a", "r_b", "l_a") * side("r_a", "r_b", "l_b") < 0)
-    return bad.unionByName(p.filter(crossing).select(*ids)).distinct()
-
-
-def _segments(rings) -> np.ndarray:
-    out = [(p["x"], p["y"], q["x"], q["y"]) for ring in rings for p, q in zip(ring[:-1], ring[1:])]
-    return np.array([s for s in out if s[1] != s[3]], dtype=float).reshape(-1, 4)
-
-
-def _levels(seg: np.ndarray) -> np.ndarray:
-    """Heights where the order of edges along a scanline may change: end points and crossings."""
-    ys = [seg[:, 1], seg[:, 3]]
-    for i in range(len(seg) - 1):
-        ax, ay, bx, by = seg[i]
-        o = seg[i + 1:]
-        den = (bx - ax) * (o[:, 3] - o[:, 1]) - (by - ay) * (o[:, 2] - o[:, 0])
-        with np.errstate(divide="ignore", invalid="ignore"):
-            t = ((o[:, 0] - ax) * (o[:, 3] - o[:, 1]) - (o[:, 1] - ay) * (o[:, 2] - o[:, 0])) / den
-            u = ((o[:, 0] - ax) * (by - ay) - (o[:, 1] - ay) * (bx - ax)) / den
-        ok = (den != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
-        ys.append(ay + t[ok] * (by - ay))
-    return np.unique(np.concatenate(ys)) if len(seg) else np.empty(0)
-
-
-def _active(seg: np.ndarray, y: float) -> np.ndarray:
-    """Edges that cross height y, ordered by x."""
-    lo, hi = np.minimum(seg[:, 1], seg[:, 3]), np.maximum(seg[:, 1], seg[:, 3])
-    idx = np.flatnonzero((lo <= y) & (y < hi))
-    return idx[np.argsort(_x_at(seg[idx], y), kind="stable")]
-
-
-def _x_at(seg: np.ndarray, y: float) -> np.ndarray:
-    return seg[:, 0] + (y - seg[:, 1]) * (seg[:, 2] - seg[:, 0]) / (seg[:, 3] - seg[:, 1])
-
-
-def _make_valid(rings) -> list:
-    """Even-odd interior as simple pieces: trapezoids between levels, joined while their sides stay the same."""
-    seg = _segments(rings)
-    ys = _levels(seg)
-    open_, done = {}, []
-    for y0, y1 in zip(ys[:-1], ys[1:]):
-        order = _active(seg, (y0 + y1) / 2)
-        now = {}
-        for left, right in zip(order[::2], order[1::2]):
-            key = (int(left), int(right))
-            now[key] = (open_.pop(key)[0] if key in open_ else y0, y1)
-        done += list(open_.items())
-        open_ = now
-    done += list(open_.items())
-    out = []
-    for (left, right), (y0, y1) in done:
-        pts = [(_x_at(seg[[left]], y0)[0], y0), (_x_at(seg[[right]], y0)[0], y0), (_x_at(seg[[right]], y1)[0], y1), (_x_at(seg[[left]], y1)[0], y1)]
-        ring = [p for i, p in enumerate(pts) if p != pts[i - 1]]
-        if len(ring) >= 3:
-            out.append([[{"x": float(x), "y": float(y)} for x, y in ring + ring[:1]]])
-    return out
+    for name, of in (("_s", ("l_a", "l_b", "r_a")), ("_t", ("l_a", "l_b", "r_b")), ("_u", ("r_a", "r_b", "l_a")), ("_v", ("r_a", "r_b", "l_b"))):
+        p = p.withColumn(name, F.signum(side(*of)))
+    s, t, u, v = (F.col(k) for k in ("_s", "_t", "_u", "_v"))
+    crossing, meeting, in_line = (s * t < 0) & (u * v < 0), (s * t <= 0) & (u * v <= 0), (s == 0) & (t == 0) & (u == 0) & (v == 0)
+    shared = lambda axis: F.least(f"l_{axis}1", f"r_{axis}1") > F.greatest(f"l_{axis}0", f"r_{axis}0")
+    step = F.col("r_i") - F.col("l_i")
+    next_to = (step == 1) | (step == F.col("l_n") - 1)
+    overlap = in_line & (shared("x") | shared("y"))
+    wrong = F.when(F.col("l_ring") != F.col("r_ring"), crossing | overlap).when(next_to, overlap).otherwise(meeting)
+    return bad.unionByName(p.filter(wrong).select(*ids)).distinct()
 
 
 _POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
@@ -216,20 +178,42 @@ def overlap_area(a: Column, b: Column, a_boxes: Column, b_boxes: Column) -> Colu
 
 
 def repair(polys: DataFrame, ids: Sequence[str], mode: str = "make_valid") -> DataFrame:
-    """Replace invalid polygons by their even-odd pieces (modes ``make_valid`` and ``buffer0``), or leave them (``none``).
+    """Replace invalid polygons by valid ones, or leave them (mode ``none``).
 
-    Adds ``was_invalid``; a repaired polygon may become several rows with a ``piece`` number.
+    ``make_valid`` keeps the places with an odd number of rings around them. ``buffer0`` keeps those that the shell goes round in its own
+    sense and no hole covers, so that loops the other way round and what a hole covers outside the shell are gone. Both cut rings where they
+    meet and nest holes; areas that touch at points only become polygons of their own. Adds ``was_invalid``; a repaired polygon
+    may become several rows with a ``piece`` number, or none if it has no area.
     """
     ids = list(ids)
+    rules = {"none": None, "make_valid": O.even_odd, "buffer0": O.wound}
+    if mode not in rules:
+        raise ValueError(f"mode {mode!r} is none of {sorted(rules)}")
     polys = materialize(polys)
     bad = invalid_parts(polys, ids).withColumn("_bad", F.lit(True))
     j = join_checked(polys, bad, ids, "left").withColumn("was_invalid", F.coalesce("_bad", F.lit(False))).drop("_bad")
     if mode == "none":
         return j.withColumn("piece", F.lit(0))
-    fixed = F.when(F.col("was_invalid"), _per_row(_make_valid, f"array<{G.RINGS}>", F.when(F.col("was_invalid"), F.col("rings")))).otherwise(F.array("rings"))
+    fixed = F.when(F.col("was_invalid"), _per_row(rules[mode], f"array<{G.RINGS}>", F.when(F.col("was_invalid"), F.col("rings")))).otherwise(F.array("rings"))
     return j.select(*[c for c in j.columns if c != "rings"], F.posexplode(fixed).alias("piece", "rings"))
 
 
+def intersection(a: Column, b: Column) -> Column:
+    """Polygons of the area that two polygons share: array of rings, empty where they share none, NULL where either is NULL."""
+    return _per_row(O.common, f"array<{G.RINGS}>", a, b)
+
+
+def clip(polys: DataFrame, zones: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Parts of polygons inside zones, one row per piece: columns of polygons as ``l_``, of zones as ``r_``, then ``piece`` and ``rings``.
+
+    Both sides hold ``rings``; only pairs whose boxes overlap are cut, and rings of unlike ``keys`` never meet.
+    """
+    pairs = box_pairs(with_bounds(polys), with_bounds(zones), keys)
+    apart = [f"{p}_{c}{k}" for p in "lr" for c in "xy" for k in "01"]
+    cut = pairs.withColumn("_cut", intersection(F.col("l_rings"), F.col("r_rings"))).drop("l_rings", "r_rings", *apart)
+    return cut.select(*[c for c in cut.columns if c != "_cut"], F.posexplode("_cut").alias("piece", "rings"))
+
+
 def _dp(points: np.ndarray, tol: float) -> np.ndarray:
     keep = np.zeros(len(points), dtype=bool)
     keep[[0, -1]] = True

@@ -160,6 +160,73 @@ def repair_geometry(spark, sf):
     return r.groupBy(*IDS).agg(F.count("*").cast("int").alias("pieces"), F.round(F.sum(G.polygon_area(c("rings"))), 6).alias("area"))
 
 
+def odd_shapes(spark, sf):
+    """Each part as one of six shapes on its box, by feat_index mod 6: a bow-tie with unequal loops, a hole over the upper right corner, a hole
+    outside, a ring that touches itself, a spike, and a plain box."""
+    b = G.bounds(c("rings"))
+    p = polygons(spark, sf).select(*IDS, *[e.alias(n) for n, e in b.items()])
+    w, h = c("x1") - c("x0"), c("y1") - c("y0")
+    ring = lambda *at: F.array(*[G.point(c("x0") + w * float(x), c("y0") + h * float(y)) for x, y in (*at, at[0])])
+    box = G.box_ring(c("x0"), c("y0"), c("x1"), c("y1"))
+    corner = G.box_ring(c("x0") + w / 2, c("y0") + h / 2, c("x1") + w / 2, c("y1") + h / 2)
+    shapes = [
+        F.array(ring((0, 0), (1, 0), (0, 1), (0.5, 1))),
+        F.array(box, corner),
+        F.array(box, G.box_ring(c("x1") + 1, c("y0"), c("x1") + 2, c("y1"))),
+        F.array(ring((0, 0), (1, 0), (1, 1), (0.5, 1), (0.25, 0.5), (0.5, 0.25), (0.75, 0.5), (0.5, 1), (0, 1))),
+        F.array(ring((0, 0), (1, 0), (1, 0.5), (1.5, 0.5), (1, 0.5), (1, 1), (0, 1))),
+        F.array(box)]
+    rings = F.lit(None).cast(G.RINGS)
+    for k, s in enumerate(shapes):
+        rings = F.when(c("feat_index") % 6 == k, s).otherwise(rings)
+    return p.select(*IDS, rings.alias("rings"))
+
+
+@query("validity", "SELECT feat_index, part, feat_index % 6 = 5 AS valid FROM field_parts")
+def validity(spark, sf):
+    """Crossing, straying, touching and doubled edges are all found."""
+    p = materialize(odd_shapes(spark, sf))
+    bad = V.invalid_parts(p, IDS).withColumn("bad", F.lit(True))
+    return join_checked(p.select(*IDS), bad, IDS, "left").select(*IDS, c("bad").isNull().alias("valid"))
+
+
+@query("repair_shapes", """
+WITH s AS (SELECT feat_index, part, feat_index % 6 AS k, (x1 - x0) * (y1 - y0) AS a, y1 - y0 AS h FROM field_parts)
+SELECT feat_index, part, 'make_valid' AS mode, CASE WHEN k < 3 THEN 2 ELSE 1 END AS pieces, CASE WHEN k < 3 THEN 2 WHEN k = 3 THEN 2 ELSE 1 END AS n_rings,
+ round(CASE k WHEN 0 THEN a * 5 / 12 WHEN 1 THEN a * 1.5e0 WHEN 2 THEN a + h WHEN 3 THEN a * 0.8125e0 ELSE a END, 6) AS area FROM s
+UNION ALL SELECT feat_index, part, 'buffer0', 1, 1, round(CASE k WHEN 0 THEN a / 3 WHEN 1 THEN a * 0.75e0 ELSE a END, 6) FROM s""")
+def repair_shapes(spark, sf):
+    """Polygons, rings and area after repair in both modes."""
+    p, out = materialize(odd_shapes(spark, sf)), None
+    for mode in ("make_valid", "buffer0"):
+        r = V.repair(p, IDS, mode).groupBy(*IDS).agg(F.count("*").cast("int").alias("pieces"), F.sum(F.size("rings")).cast("int").alias("n_rings"), F.round(F.sum(G.polygon_area(c("rings"))), 6).alias("area"))
+        r = r.withColumn("mode", F.lit(mode))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("intersection_geometry", """
+WITH s AS (SELECT feat_index, part, feat_index % 3 AS k, (x1 - x0) * (y1 - y0) AS a, x0, x1, y0, y1, x1 - x0 AS w, y1 - y0 AS h FROM field_parts)
+SELECT feat_index, part, CAST(i AS INT) AS piece, CASE WHEN k = 2 THEN 2 ELSE 1 END AS n_rings, round(CASE k WHEN 0 THEN a / 32 WHEN 1 THEN a * 0.375e0 ELSE a * 0.75e0 END, 6) AS area,
+ round(CASE WHEN k = 0 AND i = 1 THEN x1 - w / 4 ELSE x0 END, 6) AS x0, round(CASE WHEN k = 0 THEN y0 + h * 0.75e0 ELSE y0 END, 6) AS y0,
+ round(CASE WHEN k = 0 AND i = 0 THEN x0 + w / 4 WHEN k = 1 THEN x0 + w / 2 ELSE x1 END, 6) AS x1, round(CASE WHEN k = 0 THEN y0 + h * 0.875e0 ELSE y1 END, 6) AS y1
+FROM s, (VALUES (0), (1)) n(i) WHERE i = 0 OR k = 0""")
+def intersection_geometry(spark, sf):
+    """By feat_index mod 3: the arms of a U inside a bar, a triangle inside half of its box, and a box with a hole inside a larger one."""
+    b = G.bounds(c("rings"))
+    p = polygons(spark, sf).select(*IDS, *[e.alias(n) for n, e in b.items()])
+    w, h = c("x1") - c("x0"), c("y1") - c("y0")
+    ring = lambda *at: F.array(*[G.point(c("x0") + w * float(x), c("y0") + h * float(y)) for x, y in (*at, at[0])])
+    box = lambda x0, y0, x1, y1: ring((x0, y0), (x1, y0), (x1, y1), (x0, y1))
+    k = c("feat_index") % 3
+    a = (F.when(k == 0, F.array(ring((0, 0), (1, 0), (1, 1), (0.75, 1), (0.75, 0.5), (0.25, 0.5), (0.25, 1), (0, 1))))
+         .when(k == 1, F.array(ring((0, 0), (1, 0), (0, 1)))).otherwise(F.array(box(0, 0, 1, 1), box(0.25, 0.25, 0.75, 0.75))))
+    z = F.when(k == 0, F.array(box(-1, 0.75, 2, 0.875))).when(k == 1, F.array(box(0, 0, 0.5, 1))).otherwise(F.array(box(-1, -1, 2, 2)))
+    cut = p.select(*IDS, F.posexplode(V.intersection(a, z)).alias("piece", "rings"))
+    b = G.bounds(c("rings"))
+    return cut.select(*IDS, "piece", F.size("rings").alias("n_rings"), F.round(G.polygon_area(c("rings")), 6).alias("area"), *[F.round(e, 6).alias(n) for n, e in b.items()])
+
+
 @query("simplify_polygons", "SELECT feat_index, part, CASE WHEN is_bowtie THEN 6 ELSE 5 END AS n_points, round(CASE WHEN is_bowtie THEN (x1 - x0) * 0.025e0 ELSE (x1 - x0) * (y1 - y0) END, 6) AS area FROM field_parts")
 def simplify_polygons(spark, sf):
     """Shells with an extra vertex 0.05 off the lower edge come back as plain boxes at tolerance 0.2; invalid ones stay as they are."""
@@ -261,6 +328,21 @@ def intersection_area(spark, sf):
     return j.select(c("l_win").alias("win"), c("r_feat_index").alias("feat_index"), c("r_part").alias("part"), F.round(area, 6).alias("area")).filter("area > 0")
 
 
+@query("clip_polygons", f"""
+WITH {WINDOWS},
+ i AS (SELECT win, feat_index, part, greatest(x0, x) AS cx0, greatest(y0, y) AS cy0, least(x1, x + 20) AS cx1, least(y1, y + 20) AS cy1,
+   greatest(0, least(x1, x + 20) - greatest(x0, x)) * greatest(0, least(y1, y + 20) - greatest(y0, y)) - CASE WHEN has_hole THEN greatest(0, least(x1 - 1, x + 20) - greatest(x0 + 1, x)) * greatest(0, least(y1 - 1, y + 20) - greatest(y0 + 1, y)) ELSE 0 END AS area
+  FROM w JOIN field_parts f ON x0 <= x + 20 AND x1 >= x AND y0 <= y + 20 AND y1 >= y WHERE NOT is_bowtie)
+SELECT win, feat_index, part, round(area, 6) AS area FROM i WHERE area > 0""")
+def clip_polygons(spark, sf):
+    """Polygons cut to the windows, pieces added up."""
+    p = polygons(spark, sf)
+    p = join_checked(p, V.invalid_parts(p.select(*IDS, "rings"), IDS), IDS, "left_anti").drop("orig_fid")
+    w = windows(spark, sf).select("win", F.array(G.box_ring(c("x").cast("double"), c("y").cast("double"), (c("x") + c("w")).cast("double"), (c("y") + c("h")).cast("double"))).alias("rings"))
+    cut = V.clip(p, w)
+    return cut.groupBy(c("r_win").alias("win"), c("l_feat_index").alias("feat_index"), c("l_part").alias("part")).agg(F.round(F.sum(G.polygon_area(c("rings"))), 6).alias("area"))
+
+
 @query("negatives_far", f"""
 WITH q AS (SELECT o_orderkey AS pid, CAST(o_orderkey % 250 AS DOUBLE) + 0.5e0 AS x, floor(o_orderkey / 250e0) + 0.5e0 AS y FROM orders),
  e AS (SELECT q.pid FROM q JOIN field_edges e ON least(ax, bx) - 3 <= x AND greatest(ax, bx) + 3 >= x AND least(ay, by_) - 3 <= y AND greatest(ay, by_) + 3 >= y,

@@ -102,3 +102,54 @@ def forest_serial(e, m, inside, then=None):
     for p, a in of.items():
         out[p] = mark[a]
     return out
+
+
+def segments(rings) -> np.ndarray:
+    out = [(p["x"], p["y"], q["x"], q["y"]) for ring in rings for p, q in zip(ring[:-1], ring[1:])]
+    return np.array([s for s in out if s[1] != s[3]], dtype=float).reshape(-1, 4)
+
+
+def levels(seg: np.ndarray) -> np.ndarray:
+    """Heights where the order of edges along a scanline may change: end points and crossings."""
+    ys = [seg[:, 1], seg[:, 3]]
+    for i in range(len(seg) - 1):
+        ax, ay, bx, by = seg[i]
+        o = seg[i + 1:]
+        den = (bx - ax) * (o[:, 3] - o[:, 1]) - (by - ay) * (o[:, 2] - o[:, 0])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = ((o[:, 0] - ax) * (o[:, 3] - o[:, 1]) - (o[:, 1] - ay) * (o[:, 2] - o[:, 0])) / den
+            u = ((o[:, 0] - ax) * (by - ay) - (o[:, 1] - ay) * (bx - ax)) / den
+        ok = (den != 0) & (t >= 0) & (t <= 1) & (u >= 0) & (u <= 1)
+        ys.append(ay + t[ok] * (by - ay))
+    return np.unique(np.concatenate(ys)) if len(seg) else np.empty(0)
+
+
+def active(seg: np.ndarray, y: float) -> np.ndarray:
+    """Edges that cross height y, ordered by x."""
+    lo, hi = np.minimum(seg[:, 1], seg[:, 3]), np.maximum(seg[:, 1], seg[:, 3])
+    idx = np.flatnonzero((lo <= y) & (y < hi))
+    return idx[np.argsort(x_at(seg[idx], y), kind="stable")]
+
+
+def x_at(seg: np.ndarray, y: float) -> np.ndarray:
+    return seg[:, 0] + (y - seg[:, 1]) * (seg[:, 2] - seg[:, 0]) / (seg[:, 3] - seg[:, 1])
+
+
+def as_rings(*rings):
+    return [[{"x": float(x), "y": float(y)} for x, y in [*r, r[0]]] for r in rings]
+
+
+def ring_around(rng, cx, cy, n):
+    a = (np.arange(n) + 0.8 * rng.random(n)) * 2 * np.pi / n
+    r = 1 + 4 * rng.random(n)
+    return list(zip(cx + r * np.cos(a), cy + r * np.sin(a)))
+
+
+def slab_area(a, b):
+    """Area inside both by the even-odd rule: between two levels the common width is linear, so its middle value is exact."""
+    sa, sb = segments(a), segments(b)
+    ys, area = levels(np.vstack([sa, sb])), 0.0
+    for y0, y1 in zip(ys[:-1], ys[1:]):
+        xa, xb = (x_at(s[active(s, (y0 + y1) / 2)], (y0 + y1) / 2) for s in (sa, sb))
+        area += (y1 - y0) * sum(max(0.0, min(a1, b1) - max(a0, b0)) for a0, a1 in zip(xa[::2], xa[1::2]) for b0, b1 in zip(xb[::2], xb[1::2]))
+    return area

@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pytest
-from helpers import to_array, to_px
+from helpers import as_rings, ring_around, slab_area, to_array, to_px
 from pyspark.sql import functions as F
 
 from acreage.functions import arrays as A, geometry as G, scalars as S
@@ -94,26 +94,6 @@ def test_tiny_hot_cells_keep_each_pair_once(spark):
     assert J.box_pairs(d, d, cell=8.0, hot=10, fan=2, depth=2).count() == 3600
 
 
-def as_rings(*rings):
-    return [[{"x": float(x), "y": float(y)} for x, y in [*r, r[0]]] for r in rings]
-
-
-def ring_around(rng, cx, cy, n):
-    a = (np.arange(n) + 0.8 * rng.random(n)) * 2 * np.pi / n
-    r = 1 + 4 * rng.random(n)
-    return list(zip(cx + r * np.cos(a), cy + r * np.sin(a)))
-
-
-def slab_area(a, b):
-    """Area inside both by the even-odd rule: between two levels the common width is linear, so its middle value is exact."""
-    sa, sb = V._segments(a), V._segments(b)
-    ys, area = V._levels(np.vstack([sa, sb])), 0.0
-    for y0, y1 in zip(ys[:-1], ys[1:]):
-        xa, xb = (V._x_at(s[V._active(s, (y0 + y1) / 2)], (y0 + y1) / 2) for s in (sa, sb))
-        area += (y1 - y0) * sum(max(0.0, min(a1, b1) - max(a0, b0)) for a0, a1 in zip(xa[::2], xa[1::2]) for b0, b1 in zip(xb[::2], xb[1::2]))
-    return area
-
-
 @pytest.mark.parametrize("pairs", [1 << 21, 60])
 def test_overlap_of_general_polygons(monkeypatch, pairs):
     monkeypatch.setattr(V, "EDGE_PAIRS", pairs)
@@ -138,12 +118,6 @@ def test_overlap_of_general_polygons(monkeypatch, pairs):
             assert g == pytest.approx(w, abs=1e-8)
 
 
-def test_make_valid_bow_tie():
-    bow = [[{"x": 0.0, "y": 0.0}, {"x": 4.0, "y": 0.0}, {"x": 0.0, "y": 2.0}, {"x": 4.0, "y": 2.0}, {"x": 0.0, "y": 0.0}]]
-    pieces = V._make_valid(bow)
-    assert len(pieces) == 2 and all(len(p[0]) == 4 for p in pieces)
-
-
 def test_greedy_match_serial(spark):
     rng = np.random.default_rng(3)
     pairs = [(int(p), int(g), float(i)) for p, g, i in zip(rng.integers(0, 25, 150), rng.integers(0, 25, 150), rng.random(150).round(2))]
