@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from acreage.functions import geometry as G
 from acreage.operators import overlay as O
@@ -336,10 +336,19 @@ def lines(polys: DataFrame, ids: Sequence[str], width: int, height: int | Column
 
 
 def clean(polys: DataFrame, ids: Sequence[str], min_area, remove_holes, simplify_tol=0.0, snap_step=0.0,
-          mode: str = "make_valid") -> DataFrame:
-    """Repair, strip holes, simplify, straighten, drop small areas and number fields 1..n by (ids, top, left). All settings but the mode may differ by key."""
+          mode: str = "make_valid", zones: DataFrame | None = None, zone_keys: Sequence[str] = ()) -> DataFrame:
+    """Repair, clip, strip holes, simplify, straighten, drop small areas and number fields 1..n by (ids, top, left). All settings but the mode may differ by key.
+
+    ``zones`` (``zone_keys``, part of the ids, and ``rings``; not overlapping) are what polygons are clipped to.
+    """
     ids = list(ids)
     p = repair(polys, ids, mode)
+    if zones is not None:
+        cut = clip(p, zones.select(*zone_keys, "rings"), zone_keys).withColumnRenamed("piece", "_piece")
+        p = cut.select(*[F.col(k) if k in zone_keys else F.col(f"l_{k}").alias(k) for k in p.columns if k not in ("rings", "piece")], "l_piece", "_piece", "rings")
+        low = G.bounds(F.col("rings"))
+        order = Window.partitionBy(*ids).orderBy("l_piece", low["y0"], low["x0"], "_piece")
+        p = p.withColumn("piece", F.row_number().over(order) - 1).drop("l_piece", "_piece")
     if largest(remove_holes):
         p = p.withColumn("rings", F.when(column(remove_holes), G.strip_holes(F.col("rings"))).otherwise(F.col("rings")))
     each = [*ids, "piece"]

@@ -444,6 +444,18 @@ def clean_polygons(spark, sf):
     return p.select(*IDS, F.round("area_m2", 6).alias("area_m2"), "field_id")
 
 
+@query("clean_clipped", """
+WITH k AS (SELECT feat_index, part, x0, y0, x1, y1, (x1 - x0) * (y1 - y0) AS a, is_bowtie, CASE WHEN has_hole AND (x1 - x0) * 0.75e0 <= x1 - x0 - 1 THEN ((x1 - x0) * 0.75e0 - 1) * (y1 - y0 - 2) ELSE 0 END AS bay FROM field_parts),
+ s AS (SELECT feat_index, part, y0, x0, CASE WHEN is_bowtie THEN a * 7 / 32 ELSE a * 0.75e0 - bay END AS area FROM k UNION ALL SELECT feat_index, part, (y0 + y1) / 2, x0, a * 7 / 32 FROM k WHERE is_bowtie)
+SELECT feat_index, part, round(area, 6) AS area_m2, row_number() OVER (ORDER BY feat_index, part, y0, x0) AS field_id FROM s WHERE area >= 12""")
+def clean_clipped(spark, sf):
+    """Polygons cleaned inside the left three quarters of their boxes; a hole on the cut becomes a bay, which stays open."""
+    p = materialize(polygons(spark, sf).drop("orig_fid"))
+    b = G.bounds(c("rings"))
+    zones = p.select(*IDS, F.array(G.box_ring(b["x0"] - 1, b["y0"] - 1, b["x0"] + (b["x1"] - b["x0"]) * 0.75, b["y1"] + 1)).alias("rings"))
+    return V.clean(p, IDS, 12.0, True, zones=zones, zone_keys=IDS).select(*IDS, F.round("area_m2", 6).alias("area_m2"), "field_id")
+
+
 @query("vector_qa", f"""
 WITH q AS (SELECT *, {AREA} AS area, x1 >= 0 AND x0 <= 250 AND y1 >= 0 AND y0 <= {HEIGHT} AS near FROM field_parts)
 SELECT (SELECT count(*) FROM fields) AS features_raw, (SELECT count(*) FROM fields WHERE is_empty) AS empty_dropped, 0 AS nonpoly_dropped, count(*) AS parts, count(*) FILTER (is_bowtie) AS invalid_before, count(*) FILTER (NOT near) AS clipped_out,
