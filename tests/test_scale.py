@@ -1,9 +1,12 @@
 """What keeps the work of shared steps in proportion to the input: no broadcast of tables that grow, copies counted once."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from acreage.functions import geometry as G
-from acreage.operators import spatial as J, vectors as V
+from acreage.operators import matching as M, spatial as J, vectors as V
+from acreage.session import spread
 
 
 def plan_of(df):
@@ -23,3 +26,60 @@ def test_distance_filter_broadcasts_no_edges_and_counts_copies_once(spark, tmp_p
     far = J.far_from_polygons(points, polys, 3.0)
     assert "Broadcast" not in plan_of(far)
     assert {r["pid"] for r in far.collect()} == {2, 3}
+
+
+def test_box_pairs_broadcast_no_boxes(spark, tmp_path):
+    V.with_bounds(boxes(spark, [(i, float(i), 0.0, i + 2.0, 2.0) for i in range(50)])).write.parquet(f"{tmp_path}/polys")
+    d = spark.read.parquet(f"{tmp_path}/polys").select("idx", *J.BOX)
+    p = J.box_pairs(d, d)
+    assert "Broadcast" not in plan_of(p)
+    assert {(r["l_idx"], r["r_idx"]) for r in p.collect()} == {(i, k) for i in range(50) for k in range(50) if abs(i - k) <= 2}
+
+
+def odd_rings(rng):
+    """A shell and perhaps holes on a small lattice: many touch, cross, repeat points or stay open."""
+    rings = []
+    for r in range(rng.choice([1, 1, 2, 3])):
+        at = [(float(rng.randint(0, 5)), float(rng.randint(0, 5))) for _ in range(rng.randint(0, 6))]
+        if r == 0 and rng.random() < 0.4:
+            at = [(0.0, 0.0), (5.0, 0.0), (5.0, 5.0), (0.0, 5.0)]
+        elif rng.random() < 0.5:
+            x, y = rng.randint(0, 3) + 0.5, rng.randint(0, 3) + 0.5
+            at = [(x, y), (x + 1, y), (x + 1, y + 1)]
+        at = at[:1] + at if rng.random() < 0.2 else at
+        rings.append(at + at[:1] if rng.random() < 0.95 else at)
+    return rings
+
+
+def test_small_polygons_are_judged_in_place_as_large_ones_are_by_cells(spark):
+    rng = random.Random(5)
+    d = spark.createDataFrame([(i, odd_rings(rng)) for i in range(400)], f"id int, rings {G.RINGS}")
+    large = {r["id"] for r in V._invalid_large(d, ["id"]).collect()}
+    judged = V.with_validity(d, ["id"], "bad")
+    assert 50 < len(large) < 350 and {r["id"] for r in judged.filter("bad").collect()} == large
+    assert judged.count() == 400 and "Exchange" not in plan_of(judged)
+
+
+def test_a_small_file_is_spread_before_geometry(spark, tmp_path):
+    spark.range(100).coalesce(1).write.parquet(f"{tmp_path}/t")
+    assert spread(spark.read.parquet(f"{tmp_path}/t"), "id").rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_matching_of_shapes_equals_matching_of_their_polygons(spark):
+    rng = random.Random(3)
+    rows = [(k, i, *(lambda x, w: (x, 0.0, x + w, 2.0))(float(rng.randint(0, 12)), float(rng.choice([4, 5, 6, 8])))) for k in range(3) for i in range(60)]
+    def side(rows):
+        d = spark.createDataFrame(rows, "sample int, idx bigint, x0 double, y0 double, x1 double, y1 double")
+        return d.select("sample", "idx", F.array(G.box_ring(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))).alias("rings"))
+    rng.shuffle(rows)
+    gt, pred = side(rows[:95]), side([(k, i, x0 + rng.choice([0.0, 1.0]), y0, x1 + 1.0, y1) for k, i, x0, y0, x1, y1 in rows[60:]])
+    (one_gt, gt_of), (one_pred, pred_of) = M.shapes(gt, ["sample"]), M.shapes(pred, ["sample"])
+    found = M.match_shapes(M.shape_pairs(one_gt, one_pred, ["sample"]), [gt_of, pred_of], ["sample"])
+    got = {tuple(r) for r in M.matched_members(found, [gt_of, pred_of], ["sample"]).select("sample", "pred_idx", "gt_idx").collect()}
+    pairs = sorted((r["sample"], -r["iou"], r["pred_idx"], r["gt_idx"]) for r in M.iou_pairs(gt, pred, ["sample"]).collect() if r["iou"] >= 0.5)
+    want, used = set(), set()
+    for k, _, p, g in pairs:
+        if not {(k, "p", p), (k, "g", g)} & used:
+            used |= {(k, "p", p), (k, "g", g)}
+            want.add((k, p, g))
+    assert len(want) > 30 and got == want
