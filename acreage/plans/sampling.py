@@ -96,7 +96,7 @@ def make_patches(spark, sf):
     polys = materialize(number_rows(V.with_bounds(polygons(spark, sf)), IDS, "rn").withColumn("fi", c("rn") - 1))
     n = polys.count()
     k = c("c_custkey")
-    picks = lambda seed: table(spark, sf, "customer").select(k.alias("attempt"), draw_int(k, 1, seed, 0, n - 1).cast("bigint").alias("fi")).join(polys, "fi")
+    picks = lambda seed: table(spark, sf, "customer").select(k.alias("attempt"), draw_int(k, 1, seed, 0, n - 1).cast("bigint").alias("fi")).join(polys.hint("merge"), "fi")
     centre = P.point_inside(picks(51), "attempt", 51).select(F.lit("center").alias("kind"), "attempt", "px", "py", F.when(c("px").isNull(), "other").alias("reject"))
     b = picks(52)
     b = b.select("attempt", G.point_at_length(c("rings"), draw(c("attempt"), 2, 52) * G.polygon_perimeter(c("rings"))).alias("b"))
@@ -104,11 +104,12 @@ def make_patches(spark, sf):
     edge = b.select(F.lit("boundary").alias("kind"), "attempt", jx.alias("px"), jy.alias("py"), F.lit(None).cast("string").alias("reject"))
     q = negative_centres(spark, sf)
     far = X.far_from_polygons(q, polys, 3.0).select("attempt", F.lit(1).alias("far"))
-    neg = q.join(far, "attempt", "left").select(F.lit("negative").alias("kind"), "attempt", c("x").alias("px"), c("y").alias("py"), F.when(c("far").isNull(), "neg_dist").alias("reject"))
+    neg = q.join(far.hint("merge"), "attempt", "left").select(F.lit("negative").alias("kind"), "attempt", c("x").alias("px"), c("y").alias("py"), F.when(c("far").isNull(), "neg_dist").alias("reject"))
     tries = P.place(centre.unionByName(edge).unionByName(neg), 16, 16, W, h)
     tries = materialize(tries.withColumn("placed", c("placed") & c("reject").isNull()).withColumn("placed", F.coalesce("placed", F.lit(False))))
-    burnt = V.fill(polys, IDS, W, h).select("row_", "col_", F.lit(1).alias("e")).distinct()
-    px = fixture(spark, sf, "scene_px").select("raster_id", "row_", "col_", "valid").join(burnt, ["row_", "col_"], "left").withColumn("extent", F.coalesce("e", F.lit(0))).drop("e")
+    # Polygons that lie on each other burn the same pixels.
+    burnt = V.fill(polys.dropDuplicates(["rings"]), IDS, W, h).select("row_", "col_", F.lit(1).alias("e")).distinct()
+    px = fixture(spark, sf, "scene_px").select("raster_id", "row_", "col_", "valid").join(burnt.hint("merge"), ["row_", "col_"], "left").withColumn("extent", F.coalesce("e", F.lit(0))).drop("e")
     win = tries.filter("placed").select(F.lit(0).alias("raster_id"), "kind", "attempt", "x", "y", F.lit(16).alias("w"), F.lit(16).alias("h"))
     judged = P.judge(tries, P.window_ratios(win, px), **LIMITS)
     out = P.cut_to_targets(judged, TARGETS)

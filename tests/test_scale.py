@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from acreage.functions import geometry as G
-from acreage.operators import matching as M, spatial as J, vectors as V
+from acreage.operators import matching as M, patches as P, spatial as J, vectors as V
 from acreage.session import spread
 
 
@@ -100,3 +100,19 @@ def test_lines_shuffle_no_pixels(spark):
     rows = [tuple(r) for r in got.collect()]
     assert len(rows) == len(set(rows)) and {(r, k) for i, r, k in rows if i == 1} == {(r, 5) for r in (5, 6, 7)}
     assert {(r, k) for i, r, k in rows if i == 0} == {(r, k) for r in range(4) for k in range(3)} - {(1, 0), (2, 0), (1, 1), (2, 1)}
+
+
+def test_points_inside_are_drawn_without_a_shuffle(spark):
+    d = V.with_bounds(boxes(spark, [(i, 0.0, 0.0, 4.0, 4.0) for i in range(20)]))
+    got = P.point_inside(d.withColumnRenamed("idx", "pid"), "pid", 21)
+    assert "Exchange" not in plan_of(got)
+    assert all(0 <= r["px"] <= 4 and 0 <= r["py"] <= 4 for r in got.collect())
+
+
+def test_windows_of_patches_are_not_broadcast_and_copies_share_a_reading(spark, tmp_path):
+    spark.range(40).selectExpr("0 AS raster_id", "'center' AS kind", "id AS attempt", "cast(id % 2 AS int) AS x", "0 AS y", "4 AS w", "4 AS h").write.parquet(f"{tmp_path}/w")
+    px = spark.range(64).selectExpr("0 AS raster_id", "cast(id / 8 AS int) AS row_", "cast(id % 8 AS int) AS col_", "1 AS valid", "cast(id % 8 < 2 AS int) AS extent")
+    r = P.window_ratios(spark.read.parquet(f"{tmp_path}/w"), px)
+    assert "Broadcast" not in plan_of(r)
+    got = {x["attempt"]: (x["valid_ratio"], x["mask_ratio"]) for x in r.collect()}
+    assert got == {i: (1.0, 0.5 if i % 2 == 0 else 0.25) for i in range(40)}
