@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from acreage.functions import geometry as G
 from acreage.operators import matching as M, patches as P, spatial as J, vectors as V
-from acreage.session import spread
+from acreage.session import materialize, spread
 
 
 def plan_of(df):
@@ -116,3 +116,12 @@ def test_windows_of_patches_are_not_broadcast_and_copies_share_a_reading(spark,
     assert "Broadcast" not in plan_of(r)
     got = {x["attempt"]: (x["valid_ratio"], x["mask_ratio"]) for x in r.collect()}
     assert got == {i: (1.0, 0.5 if i % 2 == 0 else 0.25) for i in range(40)}
+
+
+def test_a_chain_of_joins_does_not_blow_up_the_size_estimate(spark):
+    d = spark.createDataFrame([(i, [float(i)]) for i in range(4)], "id bigint, v array<double>")
+    for _ in range(6):
+        d = materialize(d.join(d.select("id", F.col("v").alias("top")), "id").select("id", F.col("top").alias("v")))
+    # Digits double with each join, so that planning a long chain took minutes.
+    assert d._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() <= 1024
+    assert sorted((r["id"], r["v"]) for r in d.collect()) == [(i, [float(i)]) for i in range(4)]
