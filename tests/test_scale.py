@@ -2,10 +2,12 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from acreage.functions import geometry as G
 from acreage.operators import matching as M, patches as P, spatial as J, vectors as V
+from acreage.operators.stencil import each_block, mosaic_rows, pack_blocks
 from acreage.session import materialize, spread
 
 
@@ -125,3 +127,28 @@ def test_a_chain_of_joins_does_not_blow_up_the_size_estimate(spark):
     # Digits double with each join, so that planning a long chain took minutes.
     assert d._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() <= 1024
     assert sorted((r["id"], r["v"]) for r in d.collect()) == [(i, [float(i)]) for i in range(4)]
+
+
+def test_small_blocks_share_calls(spark):
+    cells = spark.range(12).select((F.col("id") / 4).cast("int").alias("row_"), (F.col("id") % 4).cast("int").alias("col_"))
+    px = spark.range(300).select(F.col("id").cast("int").alias("raster_id")).crossJoin(cells)
+    px = px.filter("raster_id % 5 <> row_").withColumn("v", F.expr("raster_id * 100 + row_ * 10 + col_"))
+    calls = spark.sparkContext.accumulator(0)
+
+    def own(t):
+        calls.add(1)
+        y, x = np.nonzero(t.core)
+        rows, cols = t.place(y, x)
+        return {"row_": rows, "col_": cols, "v": t["v"][y, x], "_y": y}
+
+    def packed(t, row):
+        calls.add(1)
+        b, y, x = np.nonzero(t.present)
+        return {"row_": y + t.row0[b], "col_": x + t.col0[b], "v": t["v"][b, y, x], "_b": b}
+
+    kinds = "row_ int, col_ int, v int"
+    want = sorted(px.collect())
+    for halo in (0, 1):
+        assert sorted(mosaic_rows(px, own, kinds, halo, ["raster_id"], ["v"], 2).collect()) == want
+    assert sorted(each_block(pack_blocks(px, ["v"], ["raster_id"], 2), {"v": "int"}, packed, kinds).collect()) == want
+    assert calls.value <= 60  # of 3,000 blocks
