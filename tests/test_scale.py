@@ -5,9 +5,9 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from acreage.functions import geometry as G
-from acreage.operators import matching as M, patches as P, spatial as J, vectors as V
-from acreage.operators.stencil import each_block, mosaic_rows, pack_blocks
+from acreage.functions import arrays as A, geometry as G
+from acreage.operators import components as C, matching as M, outline as O, patches as P, spatial as J, stencil as T, vectors as V
+from acreage.operators.stencil import Tile, each_block, mosaic_rows, pack_blocks
 from acreage.session import materialize, spread
 
 
@@ -152,3 +152,40 @@ def test_small_blocks_share_calls(spark):
         assert sorted(mosaic_rows(px, own, kinds, halo, ["raster_id"], ["v"], 2).collect()) == want
     assert sorted(each_block(pack_blocks(px, ["v"], ["raster_id"], 2), {"v": "int"}, packed, kinds).collect()) == want
     assert calls.value <= 60  # of 3,000 blocks
+
+
+def holes_filled(lab, limit):
+    out = lab.copy()
+    for value in np.unique(lab[lab > 0]):
+        rest = lab != value
+        small = rest & (A.sizes_of(A.label4(rest)) < limit) & (out == 0)
+        out[small] = value
+    return out
+
+
+def test_holes_of_many_small_rasters_are_filled_in_shared_calls(monkeypatch):
+    r = np.random.default_rng(4)
+    labs = [np.where(r.random((8, 8)) < 0.7, r.integers(1, 5, (8, 8)), 0) for _ in range(300)]
+    gap, calls, label4 = 3, [], A.label4
+    rows = [np.vstack([x, np.zeros((gap, 8), int)]) for x in labs]
+    present = np.vstack([np.vstack([np.ones((8, 8), bool), np.zeros((gap, 8), bool)]) for _ in labs])
+    of = np.repeat(np.arange(300), 8 + gap)
+    limit = np.where(of % 2, 3, 2)[:, None] * np.ones(8, int)
+    sheet = np.vstack(rows)
+    monkeypatch.setattr(C.A, "label4", lambda v: calls.append(1) or label4(v))
+    got = C._fill_holes(Tile({"label": sheet, "_limit": limit}, present, 0, 0, present, {}, np.tile(np.arange(8 + gap), 300), np.zeros(len(of), int), of))
+    monkeypatch.undo()
+    assert len(calls) <= 10
+    for i, lab in enumerate(labs):
+        assert (got[of == i][:8] == holes_filled(lab, 3 if i % 2 else 2)).all()
+
+
+def test_polygons_get_their_edges_without_a_join_and_no_sigma_needs_no_blocks(spark, tmp_path):
+    lab = np.array([[1, 1, 1, 2], [1, 0, 1, 2], [1, 1, 1, 0]])
+    px = spark.createDataFrame([(0, y, x, int(v)) for (y, x), v in np.ndenumerate(lab)], "raster_id int, row_ int, col_ int, label int")
+    made = O.polygonize(px)
+    assert "Join" not in plan_of(made)
+    assert sorted((r["label_id"], len(r["rings"])) for r in made.collect()) == [(1, 2), (2, 1)]
+    v = spark.createDataFrame([(0, 0, 0, 1.5, 1), (0, 0, 1, -1.0, 1), (0, 0, 2, 0.25, 0), (0, 0, 3, 0.25, 1)], "raster_id int, row_ int, col_ int, v double, ok int")
+    flat = T.smooth(v, ["v"], 0.0, "ok")
+    assert "Exchange" not in plan_of(flat) and [r["v"] for r in flat.orderBy("col_").collect()] == [1.0, 0.0, 0.0, 0.25]
