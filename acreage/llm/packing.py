@@ -20,6 +20,8 @@ CAPACITY = 2048
 BINS, DEPTH = 64, 2
 #: Documents below this part of a sequence are left out of patterns, for the gaps.
 SHORT = 8
+#: Where lengths are at most so many, patterns are also made of the lengths themselves, of so many documents.
+FEW_LENGTHS, FEW_DEPTH = 24, 4
 
 _READY: dict[tuple[str, str, str], object] = {}
 
@@ -167,10 +169,35 @@ def fitted(histogram: dict[int, int], capacity: int, bins: int, depth: int) -> l
     for n, c in histogram.items():
         if n <= bins * width:
             y[-(-n // width)] += c
-    found = patterns(bins, depth, max(1, bins // SHORT))
+    return _fit(patterns(bins, depth, max(1, bins // SHORT)), y)
+
+
+def fitted_lengths(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """The same for the lengths themselves, if they are few: patterns are all fillings of up to ``FEW_DEPTH`` documents without a gap."""
+    lengths = sorted((n for n, c in histogram.items() if c > 0), reverse=True)
+    if len(lengths) > FEW_LENGTHS:
+        return []
+    y = np.zeros(capacity + 1)
+    for n in lengths:
+        y[n] = histogram[n]
+    found: list[tuple[int, ...]] = []
+
+    def grow(head: tuple[int, ...], first: int, left: int) -> None:
+        if not left:
+            found.append(head)
+        elif len(head) < FEW_DEPTH:
+            for i in range(first, len(lengths)):
+                if lengths[i] <= left:
+                    grow((*head, lengths[i]), i, left - lengths[i])
+
+    grow((), 0, capacity)
+    return _fit(found, y)
+
+
+def _fit(found: list[tuple[int, ...]], y: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     if not found:
         return []
-    a = np.zeros((bins + 1, len(found)))
+    a = np.zeros((len(y), len(found)))
     for j, p in enumerate(found):
         for b in p:
             a[b, j] += 1
@@ -188,13 +215,23 @@ def fitted(histogram: dict[int, int], capacity: int, bins: int, depth: int) -> l
 
 
 def make_plan(histogram: dict[int, int], capacity: int = CAPACITY, bins: int = BINS, depth: int = DEPTH) -> Plan:
-    """Fit patterns to the histogram, fill them with lengths, then pack what is left best-fit into the gaps and new sequences.
+    """The plan of fewest sequences among those by patterns of lengths, by patterns of bins, and by best fit alone; in this order if equal.
 
-    Work depends on the number of distinct lengths and patterns, not on the number of documents. Bins are upper bounds, so a
-    pattern never overflows; what its documents fall short of their bins lengthens its last one or is a gap for short ones.
+    Work depends on the number of distinct lengths and patterns, not on the number of documents.
     """
-    left = {n: c for n, c in histogram.items() if c > 0}
+    fits = [[([range(n, n - 1, -1) for n in p], times) for p, times in fitted_lengths(histogram, capacity)]]
     width = -(-capacity // bins)
+    fits.append([([range(b * width, (b - 1) * width, -1) for b in p], times) for p, times in fitted(histogram, capacity, bins, depth)])
+    plans = [_filled(histogram, capacity, fit) for fit in (*filter(None, fits), [])]
+    return min(plans, key=lambda p: p.sequences)
+
+
+def _filled(histogram: dict[int, int], capacity: int, fit: list[tuple[list[range], int]]) -> Plan:
+    """Fill patterns (the lengths of each place, longest first, and how often) with lengths, then pack what is left best-fit into the gaps and new sequences.
+
+    Bins are upper bounds, so a pattern never overflows; what its documents fall short of their bins is a gap for others.
+    """
+    left = {n: c for n, c in histogram.items() if c > 0}
     plan = Plan(capacity)
     gaps: dict[int, dict[tuple[int, ...], int]] = defaultdict(lambda: defaultdict(int))
 
@@ -207,13 +244,14 @@ def make_plan(histogram: dict[int, int], capacity: int = CAPACITY, bins: int = B
 
     if capacity in left:
         plan.add((capacity,), left.pop(capacity))
-    for pattern, times in fitted(left, capacity, bins, depth):
+    for places, times in fit:
         while times:
-            # The longest lengths of each bin; the last place goes to the longest that still fits, whatever its bin.
             chosen: list[int] = []
-            for i, b in enumerate(pattern):
+            for i, reach in enumerate(places):
                 room = capacity - sum(chosen)
-                reach = range(room, 0, -1) if i == len(pattern) - 1 else range(b * width, (b - 1) * width, -1)
+                if i and i == len(places) - 1:
+                    # What others fall short of their bins lengthens the last document, within a bin more.
+                    reach = range(min(room, reach.start + len(reach) * i), reach.stop, -1)
                 n = next((n for n in reach if left.get(n, 0) > chosen.count(n)), None)
                 if n is not None:
                     chosen.append(n)

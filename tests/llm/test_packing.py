@@ -93,3 +93,11 @@ def test_special_strings_ties_nulls_and_repeated_rows(spark):
     assert packing.pack_documents(docs.limit(0), *PATHS).count() == 0
     none = docs.withColumn("doc_id", F.lit(None).cast("bigint"))
     assert packing.pack_documents(none, *PATHS, capacity=64).select("sequence_id", "offset").distinct().count() == twice.count() // 2
+
+
+def test_patterns_of_lengths_save_sequences_that_best_fit_needs(monkeypatch):
+    lengths = Counter({51: 600, 27: 600, 26: 600, 23: 1200})
+    with_patterns = packing.make_plan(lengths, 100)
+    assert with_patterns.sequences == 900 and set(with_patterns.kinds) == {(51, 26, 23), (27, 27, 23, 23)}
+    monkeypatch.setattr(packing, "_fit", lambda found, y: [])
+    assert packing.make_plan(lengths, 100).sequences > 1000
