@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from acreage.functions import arrays as A, geometry as G
 from acreage.operators import components as C, matching as M, outline as O, patches as P, spatial as J, stencil as T, vectors as V
+from acreage.operators.settings import PerKey
 from acreage.operators.stencil import Tile, each_block, mosaic_rows, pack_blocks
 from acreage.session import materialize, spread
 
@@ -189,3 +190,26 @@ def test_polygons_get_their_edges_without_a_join_and_no_sigma_needs_no_blocks(sp
     v = spark.createDataFrame([(0, 0, 0, 1.5, 1), (0, 0, 1, -1.0, 1), (0, 0, 2, 0.25, 0), (0, 0, 3, 0.25, 1)], "raster_id int, row_ int, col_ int, v double, ok int")
     flat = T.smooth(v, ["v"], 0.0, "ok")
     assert "Exchange" not in plan_of(flat) and [r["v"] for r in flat.orderBy("col_").collect()] == [1.0, 0.0, 0.0, 0.25]
+
+
+def test_polygons_pass_python_without_a_queue_of_their_rows(spark, monkeypatch):
+    """Beside an Arrow UDF the rows of a task wait in a queue in the JVM; simplification, validity, repair and turning let them pass through Python whole."""
+    plans, keep = [], V.materialize
+    monkeypatch.setattr(V, "materialize", lambda d: plans.append(plan_of(d)) or keep(d))
+    angle = np.linspace(0, 2 * np.pi, 401)[:-1]
+    close = lambda x, y: [[{"x": float(a), "y": float(b)} for a, b in zip([*x, x[0]], [*y, y[0]])]]
+    circle, eight = close(np.cos(angle), np.sin(angle)), close(np.sin(angle + 0.001), np.sin(2 * angle + 0.002))
+    bent = close([0, 1, 2, 2, 0], [0, -0.05, 0, 2, 2])
+    bow = close([0, 1, 2, 0, 2], [0, -0.05, 0, 2, 2])
+    rows = [(0, circle, 1e-9, "a"), (1, eight, 1e-9, "b"), (2, bent, 0.2, "c"), (3, bow, 0.2, "d"), (4, bent, 0.0, "e"), (5, bent, -1.0, None), (6, circle, 0.05, "g")]
+    polys = spark.createDataFrame(rows, f"idx int, rings {G.RINGS}, tol double, name string")
+    got = {r["idx"]: r for r in V.simplify(polys, ["idx"], PerKey.of("idx", {i: tol for i, _, tol, _ in rows})).collect()}
+    assert len(got) == len(rows) and all(got[i]["name"] == name and got[i]["tol"] == tol for i, _, tol, name in rows)
+    points = {i: len(r["rings"][0]) for i, r in got.items()}
+    assert (points[0], points[1], points[2], points[3], points[4], points[5]) == (401, 401, 5, 6, 6, 6) and points[6] < 40
+    bad = {r["idx"] for r in V.with_validity(polys, ["idx"]).filter("was_invalid").collect()}
+    assert bad == {1, 3}
+    fixed = V.repair(polys.filter("idx > 1"), ["idx"]).cache()
+    assert {r["idx"]: r["n"] for r in fixed.groupBy("idx").agg(F.count("*").alias("n")).collect()} == {2: 1, 3: 2, 4: 1, 5: 1, 6: 1}
+    plans += [plan_of(V.repair(polys, ["idx"])), plan_of(V.straighten(polys, 90.0))]
+    assert sum("MapInArrow" in p for p in plans) >= 4 and not any("ArrowEvalPython" in p for p in plans)
