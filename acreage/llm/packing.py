@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import heapq
 import os
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +17,10 @@ from acreage.session import number_rows
 
 TEXT_BYTES = 8 << 20
 CAPACITY = 2048
-#: Lengths are binned for the fit; a pattern has at most so many documents.
-BINS, DEPTH = 64, 2
-#: Documents below this part of a sequence are left out of patterns, for the gaps.
-SHORT = 8
-#: Where lengths are at most so many, patterns are also made of the lengths themselves, of so many documents.
-FEW_LENGTHS, FEW_DEPTH = 24, 4
+#: Lengths are binned for the first fit. Patterns hold any number of documents of any length.
+BINS = 64
+#: Patterns taken into the fit at a time, and the use below which none is: times are rounded, so it would not be used once.
+AT_ONCE, LEAST_USE = 32, 0.5
 
 _READY: dict[tuple[str, str, str], object] = {}
 
@@ -94,19 +93,38 @@ def pieces(docs: DataFrame, ids_of, key: str = "doc_id", text: str = "text", cap
 # --- the plan, made from the histogram alone --------------------------------------------------------------------------
 
 
-def patterns(bins: int, depth: int, least: int = 1) -> list[tuple[int, ...]]:
-    """Multisets of at most ``depth`` bin numbers (``least`` to ``bins``) that fill ``bins`` exactly, largest first."""
-    out: list[tuple[int, ...]] = []
+def best_patterns(gain: np.ndarray, depth: int | None = None, at_once: int = 1) -> list[tuple[int, ...]]:
+    """Multisets of sizes that fill ``len(gain) - 1`` exactly, largest first, by falling sum of gains: the best of all there are, then the best with another size.
 
-    def grow(head: tuple[int, ...], left: int) -> None:
-        if not left:
-            out.append(head)
-        elif len(head) < depth:
-            for b in range(min(head[-1] if head else bins, left), least - 1, -1):
-                grow((*head, b), left - b)
-
-    grow((), bins)
-    return out
+    All multisets compete, of any number of sizes (at most ``depth``, if given); sizes with a gain of -inf have no part.
+    """
+    full = len(gain) - 1
+    sizes = np.flatnonzero(np.isfinite(gain))
+    sizes, layers = sizes[sizes > 0], depth or 1
+    # best[k, c]: largest sum of gains of a multiset that fills c, of at most k sizes; without ``depth`` a layer rests on itself.
+    best, last = np.full((layers + 1, full + 1), -np.inf), np.zeros((layers + 1, full + 1), np.int64)
+    best[:, 0] = 0
+    upto = np.searchsorted(sizes, np.arange(full + 1), side="right")
+    for k in range(1, layers + 1):
+        below = best[k - 1] if depth else best[k]
+        for c in range(1, full + 1):
+            own = sizes[: upto[c]]
+            if len(own):
+                total = below[c - own] + gain[own]
+                at = int(total.argmax())
+                best[k, c], last[k, c] = total[at], own[at]
+    with_size = (best[layers - 1] if depth else best[layers])[full - sizes] + gain[sizes]
+    out: dict[tuple[int, ...], None] = {}
+    for i in np.argsort(-with_size, kind="stable"):
+        if not np.isfinite(with_size[i]) or len(out) == at_once:
+            break
+        found, k, c = [int(sizes[i])], layers - 1 if depth else layers, full - int(sizes[i])
+        while c:
+            n = int(last[k, c])
+            found.append(n)
+            k, c = k - 1 if depth else k, c - n
+        out[tuple(sorted(found, reverse=True))] = None
+    return list(out)
 
 
 def non_negative_fit(a: np.ndarray, y: np.ndarray, rounds: int = 2000) -> np.ndarray:
@@ -161,69 +179,102 @@ class Plan:
         return sum(self.kinds.values())
 
 
-def fitted(histogram: dict[int, int], capacity: int, bins: int, depth: int) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns of bins and their repeat counts: the fit to the binned histogram, rounded, never beyond what is there."""
+def pattern_fits(y: np.ndarray, depth: int | None = None) -> Iterator[tuple[list[tuple[int, ...]], np.ndarray]]:
+    """Patterns of sizes with y > 0 and how often each, not below zero, with the least squares of what they hold less ``y``.
+
+    The active set of :func:`non_negative_fit` over all patterns there are: those of the largest gain are made when they are wanted. The fit so far
+    comes whenever its patterns have doubled, and the last one is that of all patterns.
+    """
+    # One row of ``a`` for each pattern, and ``square`` is a times its transpose.
+    found, a, x, square = [], np.zeros((0, len(y))), np.zeros(0), np.zeros((0, 0))
+    at_once, error, shown = AT_ONCE, np.inf, AT_ONCE
+    while True:
+        rest = y - x @ a
+        gain = np.where(y > 0, rest, -np.inf)
+        held = set(found)
+        new = [p for p in best_patterns(gain, depth, at_once) if p not in held and rest[list(p)].sum() > LEAST_USE * sum(k * k for k in Counter(p).values())]
+        now = float(rest @ rest)
+        if not new or (now >= error and at_once == 1):
+            yield found, x
+            return
+        if len(found) >= shown:
+            yield found, x
+            shown = 2 * len(found)
+        # Patterns taken together may all have to leave again; then the best alone, which never has to.
+        at_once, error = 1 if now >= error else AT_ONCE, now
+        more = np.zeros((len(new), len(y)))
+        for row, p in zip(more, new):
+            np.add.at(row, list(p), 1)
+        cross = a @ more.T
+        square = np.block([[square, cross], [cross.T, more @ more.T]])
+        found, a, x = found + new, np.vstack([a, more]), np.append(x, np.zeros(len(new)))
+        right, at = a @ y, np.arange(len(x))
+        while True:
+            want = _solved(square, right[at])
+            low = np.flatnonzero(want <= 0)
+            if not len(low):
+                x = want
+                break
+            reach = x[low] / np.maximum(x[low] - want[low], 1e-300)
+            x = x + reach.min() * (want - x)
+            keep = np.ones(len(x), bool)
+            keep[low] = (x[low] > LEAST_USE / 100) & (reach > reach.min())
+            at, x, square = at[keep], x[keep], square[np.ix_(keep, keep)]
+        found, a = [found[i] for i in at], a[at]
+
+
+def _solved(square: np.ndarray, right: np.ndarray) -> np.ndarray:
+    try:
+        return np.linalg.solve(square, right)
+    except np.linalg.LinAlgError:
+        return np.linalg.lstsq(square, right, rcond=None)[0]
+
+
+def fitted(histogram: dict[int, int], capacity: int, bins: int, depth: int | None = None) -> Iterator[list[tuple[list[range], int]]]:
+    """Fits to the binned histogram, see :func:`pattern_fits`: the lengths of each place of a pattern, longest first, and how often the pattern."""
     width = -(-capacity // bins)
     bins = capacity // width
     y = np.zeros(bins + 1)
     for n, c in histogram.items():
         if n <= bins * width:
             y[-(-n // width)] += c
-    return _fit(patterns(bins, depth, max(1, bins // SHORT)), y)
-
-
-def fitted_lengths(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """The same for the lengths themselves, if they are few: patterns are all fillings of up to ``FEW_DEPTH`` documents without a gap."""
-    lengths = sorted((n for n, c in histogram.items() if c > 0), reverse=True)
-    if len(lengths) > FEW_LENGTHS:
-        return []
-    y = np.zeros(capacity + 1)
-    for n in lengths:
-        y[n] = histogram[n]
-    found: list[tuple[int, ...]] = []
-
-    def grow(head: tuple[int, ...], first: int, left: int) -> None:
-        if not left:
-            found.append(head)
-        elif len(head) < FEW_DEPTH:
-            for i in range(first, len(lengths)):
-                if lengths[i] <= left:
-                    grow((*head, lengths[i]), i, left - lengths[i])
-
-    grow((), 0, capacity)
-    return _fit(found, y)
-
-
-def _fit(found: list[tuple[int, ...]], y: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
-    if not found:
-        return []
-    a = np.zeros((len(y), len(found)))
-    for j, p in enumerate(found):
-        for b in p:
-            a[b, j] += 1
-    x = non_negative_fit(a, y)
-    left, out = y.astype(np.int64), []
-    for j in np.argsort(-x, kind="stable"):
-        p = found[j]
-        need = {b: p.count(b) for b in p}
-        times = min(int(round(x[j])), *[int(left[b]) // k for b, k in need.items()])
-        if times > 0:
-            out.append((p, times))
-            for b, k in need.items():
-                left[b] -= k * times
-    return out
-
-
-def make_plan(histogram: dict[int, int], capacity: int = CAPACITY, bins: int = BINS, depth: int = DEPTH) -> Plan:
-    """The plan of fewest sequences among those by patterns of lengths, by patterns of bins, and by best fit alone; in this order if equal.
-
-    Work depends on the number of distinct lengths and patterns, not on the number of documents.
+    for fit in _fit(y, depth):
+        yield [([range(b * width, (b - 1) * width, -1) for b in p], times) for p, times in fit]
+
+
+def _fit(y: np.ndarray, depth: int | None = None) -> Iterator[list[tuple[tuple[int, ...], int]]]:
+    """Patterns and their repeat counts: rounded, and never beyond what is there. What the last fit leaves is fitted again, until no pattern is used."""
+    rest, before = y.astype(np.int64), []
+    while True:
+        for found, x in pattern_fits(rest.astype(float), depth):
+            left, out = rest.copy(), []
+            for j in np.argsort(-x, kind="stable"):
+                p = found[j]
+                need = Counter(p)
+                times = min(int(round(x[j])), *[int(left[b]) // k for b, k in need.items()])
+                if times > 0:
+                    out.append((p, times))
+                    for b, k in need.items():
+                        left[b] -= k * times
+            yield before + out
+        if not out:
+            return
+        rest, before = left, before + out
+
+
+def make_plan(histogram: dict[int, int], capacity: int = CAPACITY, bins: int = BINS, depth: int | None = None) -> Plan:
+    """The plan of fewest sequences among those by patterns of bins, by patterns of the lengths themselves, and by best fit alone; in this order if equal.
+
+    The first with as few sequences as all tokens need is final: none can have fewer. Work depends on the number of distinct lengths and patterns,
+    not on the number of documents. ``depth`` limits the documents of a pattern, if given.
     """
-    fits = [[([range(n, n - 1, -1) for n in p], times) for p, times in fitted_lengths(histogram, capacity)]]
-    width = -(-capacity // bins)
-    fits.append([([range(b * width, (b - 1) * width, -1) for b in p], times) for p, times in fitted(histogram, capacity, bins, depth)])
-    plans = [_filled(histogram, capacity, fit) for fit in (*filter(None, fits), [])]
-    return min(plans, key=lambda p: p.sequences)
+    least, best = -(-sum(n * c for n, c in histogram.items()) // capacity), None
+    for fit in chain(fitted(histogram, capacity, bins, depth), fitted(histogram, capacity, capacity, depth), [[]]):
+        plan = _filled(histogram, capacity, fit)
+        best = plan if best is None or plan.sequences < best.sequences else best
+        if best.sequences <= least:
+            break
+    return best
 
 
 def _filled(histogram: dict[int, int], capacity: int, fit: list[tuple[list[range], int]]) -> Plan:
@@ -294,7 +345,7 @@ def _best_fit(n: int, count: int, gaps, open_sequence, capacity: int) -> None:
         count -= each * times
 
 
-def pack(parts: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, bins: int = BINS, depth: int = DEPTH) -> DataFrame:
+def pack(parts: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, bins: int = BINS, depth: int | None = None) -> DataFrame:
     """``parts`` (key, piece, length, ids_crc32, and more) with ``sequence_id`` and ``offset``.
 
     Only the histogram, at most ``capacity`` numbers, comes to the driver. The plan says for each length which ranks go

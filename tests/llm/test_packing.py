@@ -101,3 +101,39 @@ def test_patterns_of_lengths_save_sequences_that_best_fit_needs(monkeypatch):
     assert with_patterns.sequences == 900 and set(with_patterns.kinds) == {(51, 26, 23), (27, 27, 23, 23)}
     monkeypatch.setattr(packing, "_fit", lambda found, y: [])
     assert packing.make_plan(lengths, 100).sequences > 1000
+
+
+@pytest.mark.parametrize("low, high", [(40, 60), (30, 80)])
+def test_patterns_hold_short_documents_of_any_number_and_length(low, high):
+    """Documents far below an eighth of a sequence, of few and of many lengths, sixteen to a sequence."""
+    r = random.Random(4)
+    lengths = Counter(r.randrange(low, high) for _ in range(30_000))
+    plan = packing.make_plan(lengths, 1000)
+    used = Counter()
+    for p, n in plan.kinds.items():
+        assert sum(p) <= 1000
+        for x in p:
+            used[x] += n
+    assert used == lengths
+    alone = packing._filled(lengths, 1000, [])
+    least = -(-sum(n * c for n, c in lengths.items()) // 1000)
+    assert plan.sequences < alone.sequences and plan.sequences - least <= 2
+
+
+def test_best_pattern_is_that_of_all_multisets():
+    r = np.random.default_rng(1)
+    for depth in (None, 2, 3):
+        gain = np.where(r.random(13) < 0.7, r.normal(size=13), -np.inf)
+
+        def fillings(head, left):
+            if not left:
+                yield head
+            elif depth is None or len(head) < depth:
+                for n in range(1, min(left, head[-1] if head else left) + 1):
+                    if np.isfinite(gain[n]):
+                        yield from fillings((*head, n), left - n)
+
+        want = max(fillings((), 12), key=lambda p: gain[list(p)].sum(), default=None)
+        got = packing.best_patterns(gain, depth, 4)
+        assert (got[0] if got else None) == want or gain[list(got[0])].sum() == pytest.approx(gain[list(want)].sum())
+        assert len(set(got)) == len(got) <= 4 and all(sum(p) == 12 and (depth is None or len(p) <= depth) for p in got)
