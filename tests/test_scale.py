@@ -213,3 +213,19 @@ def test_polygons_pass_python_without_a_queue_of_their_rows(spark, monkeypatch):
     assert {r["idx"]: r["n"] for r in fixed.groupBy("idx").agg(F.count("*").alias("n")).collect()} == {2: 1, 3: 2, 4: 1, 5: 1, 6: 1}
     plans += [plan_of(V.repair(polys, ["idx"])), plan_of(V.straighten(polys, 90.0))]
     assert sum("MapInArrow" in p for p in plans) >= 4 and not any("ArrowEvalPython" in p for p in plans)
+
+
+def test_intersections_of_shifted_pairs_are_worked_out_once():
+    from acreage.operators import overlay as O, vectors as V
+
+    ring = lambda x0, y0, x1, y1: [{"x": float(x), "y": float(y)} for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]
+    before = V._common_at_origin.cache_info().misses
+    for dx, dy in ((0, 0), (100, 7), (-3, 2**30), (0.5, 0.25)):
+        for reach in (20, 90):
+            a = [ring(3 + dx, 3 + dy, 12 + dx, 10 + dy), ring(4 + dx, 4 + dy, 11 + dx, 9 + dy)]
+            b = [ring(dx - reach, dy - reach, 8 + dx, 6 + dy)]
+            assert V._common(a, b) == O.common(a, b)
+    assert V._common_at_origin.cache_info().misses - before <= 2
+    tiny = [ring(0.1, 1e-17, 5.3, 4.7)]
+    assert V._common(tiny, [ring(1, 1, 9, 9)]) == O.common(tiny, [ring(1, 1, 9, 9)])
+    assert V._common([], [ring(1, 1, 9, 9)]) == O.common([], [ring(1, 1, 9, 9)])
