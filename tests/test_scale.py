@@ -215,6 +215,23 @@ def test_polygons_pass_python_without_a_queue_of_their_rows(spark, monkeypatch):
     assert sum("MapInArrow" in p for p in plans) >= 4 and not any("ArrowEvalPython" in p for p in plans)
 
 
+def test_pairs_become_rows_of_polygons_last(spark, monkeypatch):
+    """Shapes of many polygons, in several packs: all pairs, and nothing is shuffled or joined once they are listed."""
+    from acreage.functions import geometry as G
+    from acreage.operators import matching as M
+
+    monkeypatch.setattr(M.packs, "__defaults__", ((), 3))
+    boxes = [(k, 4.0 * (k % 2), 0.0, 4.0 * (k % 2) + 6, 5.0) for k in range(20)]
+    side = lambda shift: spark.createDataFrame([(k, x0 + shift, y0, x1 + shift, y1) for k, x0, y0, x1, y1 in boxes], "idx bigint, x0 double, y0 double, x1 double, y1 double").select(
+        "idx", F.array(G.box_ring(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))).alias("rings"))
+    found = M.iou_pairs(side(0.0), side(1.0)).select("pred_idx", "gt_idx", "inter")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert min(plan.index("Generate"), len(plan)) < min(plan.index(w) for w in ("Repartition", "Join") if w in plan)
+    got = sorted((r["pred_idx"], r["gt_idx"], r["inter"]) for r in found.collect())
+    cross = lambda p, g: 5.0 * max(0.0, min(p[3] + 1, g[3]) - max(p[1] + 1, g[1]))
+    assert got == sorted((p[0], g[0], cross(p, g)) for p in boxes for g in boxes if cross(p, g) > 0)
+
+
 def test_intersections_of_shifted_pairs_are_worked_out_once():
     from acreage.operators import overlay as O, vectors as V
 
